@@ -115,6 +115,9 @@ class Lakehouse:
             curated.withColumn(EVENT_DATE, F.to_date("event_timestamp"))
             .repartitionByRange(n, "event_timestamp", "event_id")
             .write.mode("overwrite")
+            # Static overwrite: a rebuild replaces the whole table, so no stale
+            # date folder survives (and the job commit leaves `_SUCCESS`).
+            .option("partitionOverwriteMode", "static")
             .partitionBy(EVENT_DATE)
             .parquet(self.path("silver", "curated"))
         )
