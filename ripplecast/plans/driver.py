@@ -14,7 +14,10 @@ import os
 
 from pyspark.sql import SparkSession
 
+from pyspark.sql import DataFrame
+
 from ripplecast.plans.lakehouse import GoldParams, Lakehouse, is_complete
+from ripplecast.schema import PARSED_COLUMNS
 from ripplecast.session import work_dir
 from ripplecast.sources.driver_feed import driver_messages
 
@@ -48,3 +51,35 @@ def driver_lake(spark: SparkSession, sf_dir: str, upto: str = "gold") -> Lakehou
     if upto != "landing":
         lake.ensure(upto)
     return lake
+
+
+def stream_bronze(
+    spark: SparkSession,
+    sf_dir: str,
+    dedup: str = "exact",
+    max_files_per_trigger: int | None = None,
+    watermark_delay: str = "1 hour",
+) -> DataFrame:
+    """Run the streaming ingest over the landing folder to completion
+    (`availableNow`) and read back the committed bronze batches.
+
+    Rerunning on the same checkpoint processes nothing new, so the result is
+    stable (exactly-once output).
+    """
+    from ripplecast.streaming.ingest import file_messages, read_batches, start_ingest
+
+    lake = driver_lake(spark, sf_dir, "landing")
+    tag = f"{dedup}-{max_files_per_trigger or 'all'}"
+    root = lake.path("stream", tag)
+    query = start_ingest(
+        file_messages(spark, lake.path("landing"), max_files_per_trigger),
+        root + "/bronze",
+        root + "/_checkpoint",
+        dedup=dedup,
+        watermark_delay=watermark_delay,
+        trigger={"availableNow": True},
+    )
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return read_batches(spark, root + "/bronze").select(*PARSED_COLUMNS)
