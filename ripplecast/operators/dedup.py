@@ -1,9 +1,11 @@
 """Duplicate removal on `event_id`.
 
 Batch form: keep, per id, the earliest row by (event_timestamp, then the whole
-row) so reruns pick the same row. It is an aggregation, so Spark combines copies
-map-side before the shuffle: a single id holding a third of all rows shrinks to
-one row per input partition before it is exchanged.
+row) so reruns pick the same row. Written as `row_number() = 1`, which Spark
+plans as a partial `WindowGroupLimit` before the shuffle and a final one after:
+a single id holding a third of all rows shrinks to one row per input partition
+before it is exchanged. (Measured faster than an aggregation of a packed
+struct, which runs as a sort-based aggregate.)
 
 Streaming forms: the exact, unbounded-state `dropDuplicates` of the ingest job,
 and a bounded-state form that forgets ids once the watermark passes.
@@ -11,7 +13,7 @@ and a bounded-state form that forgets ids once the watermark passes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,13 +22,8 @@ def dedup_earliest(df: DataFrame, key: str = "event_id", order: tuple[str, ...]
     `dropDuplicates`). Order: `order` columns ascending with NULLs last, then the
     remaining columns, so the choice is total and repeatable."""
     rest = [c for c in df.columns if c != key and c not in order]
-    # NULLs last: sort on (is_null, value) pairs.
-    sort_fields = []
-    for c in order:
-        sort_fields += [F.col(c).isNull().alias(f"__n_{c}"), F.col(c).alias(f"__v_{c}")]
-    packed = F.struct(*sort_fields, *[F.col(c) for c in order], *[F.col(c) for c in rest])
-    picked = df.groupBy(key).agg(F.min(packed).alias("__row"))
-    return picked.select(*[F.col(key) if c == key else F.col(f"__row.{c}").alias(c) for c in df.columns])
+    w = Window.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in (*order, *rest)])
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
 def dedup_any(df: DataFrame, key: str = "event_id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplecast.schema import CURATED_COLUMNS
@@ -10,22 +10,20 @@ from ripplecast.schema import CURATED_COLUMNS
 
 def first_per_key(df: DataFrame, key: str, order: tuple[str, ...], values: tuple[str, ...]) -> DataFrame:
     """For each non-NULL `key`, the `values` of its first row by `order`
-    (ascending, NULLs last). Ties are broken by the remaining order columns,
-    so callers pass a unique last column (e.g. `event_id`).
+    (ascending, NULLs last). Callers end `order` with a unique column
+    (e.g. `event_id`) so ties are broken the same way on every run.
 
-    Written as an aggregation of a packed struct: Spark runs a partial
-    aggregate before the shuffle, so a hot key (one user with a third of all
+    `row_number() = 1` plans as a partial `WindowGroupLimit` before the shuffle
+    and a final one after it, so a hot key (one user with a third of all
     events) contributes one row per input partition to the exchange.
     """
-    sort_fields = []
-    for c in order:
-        sort_fields += [F.col(c).isNull().alias(f"__n_{c}"), F.col(c).alias(f"__v_{c}")]
-    packed = F.struct(*sort_fields, *[F.col(v).alias(f"__x_{i}") for i, v in enumerate(values)])
+    w = Window.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in order])
     return (
         df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min(packed).alias("__first"))
-        .select(F.col(key), *[F.col(f"__first.__x_{i}").alias(v) for i, v in enumerate(values)])
+        .select(key, *order, *[v for v in values if v not in order])
+        .withColumn("__rn", F.row_number().over(w))
+        .where(F.col("__rn") == 1)
+        .select(key, *values)
     )
 
 
