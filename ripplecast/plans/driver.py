@@ -46,8 +46,9 @@ def driver_lake(spark: SparkSession, sf_dir: str, upto: str = "gold") -> Lakehou
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
         lake = Lakehouse(spark, f"{work_dir(spark)}/ripplecast-lake/{tag}", DRIVER_GOLD)
         _LAKES[key] = lake
-    if not is_complete(spark, lake.path("landing")):
+    if "landing" not in lake._ensured and not is_complete(spark, lake.path("landing")):
         lake.write_landing(driver_messages(spark, sf_dir))
+    lake._ensured.add("landing")
     if upto != "landing":
         lake.ensure(upto)
     return lake

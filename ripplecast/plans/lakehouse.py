@@ -58,6 +58,22 @@ class Lakehouse:
     spark: SparkSession
     root: str
     gold_params: GoldParams = field(default_factory=GoldParams)
+    # Read DataFrames per layer folder: the file index (listing + footer
+    # schema) is built once per session, dropped when the layer is rebuilt.
+    _reads: dict = field(default_factory=dict, repr=False)
+    _ensured: set = field(default_factory=set, repr=False)
+
+    def _read(self, kind: str, *parts: str) -> DataFrame:
+        key = (kind, parts)
+        if key not in self._reads:
+            path = self.path(*parts)
+            self._reads[key] = self.spark.read.text(path) if kind == "text" else self.spark.read.parquet(path)
+        return self._reads[key]
+
+    def _invalidate(self, *prefixes: str) -> None:
+        for key in [k for k in self._reads if k[1] and k[1][0] in prefixes]:
+            del self._reads[key]
+        self._ensured.clear()
 
     # ---------------------------------------------------------------- paths
     def path(self, *parts: str) -> str:
@@ -70,10 +86,11 @@ class Lakehouse:
     # ------------------------------------------------------------- landing
     def write_landing(self, messages: DataFrame) -> None:
         """Persist a message stream (column `value`) as JSON lines."""
+        self._invalidate("landing")
         messages.select(F.col("value").cast("string")).write.mode("overwrite").text(self.path("landing"))
 
     def landing(self) -> DataFrame:
-        return self.spark.read.text(self.path("landing"))
+        return self._read("text", "landing")
 
     # -------------------------------------------------------------- ingest
     def parsed(self, keep_value: bool = False) -> DataFrame:
@@ -90,6 +107,7 @@ class Lakehouse:
 
     def build_bronze(self) -> None:
         """Batch ingest of the landing folder: parse → validate → dedup → write."""
+        self._invalidate("bronze", "rejects")
         bronze = self.deduplicated().withColumn("ingested_at", F.current_timestamp()).select(*BRONZE_COLUMNS)
         bronze.write.mode("overwrite").parquet(self.path("bronze"))
         self.rejected().write.mode("overwrite").parquet(self.path("rejects"))
@@ -97,13 +115,14 @@ class Lakehouse:
     def bronze(self) -> DataFrame:
         # Streaming ingest writes query_id=/batch_id= sub-folders; only the
         # declared columns are exposed either way.
-        return self.spark.read.parquet(self.path("bronze")).select(*BRONZE_COLUMNS)
+        return self._read("parquet", "bronze").select(*BRONZE_COLUMNS)
 
     def rejects(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("rejects"))
+        return self._read("parquet", "rejects")
 
     # -------------------------------------------------------------- silver
     def build_silver(self) -> None:
+        self._invalidate("silver")
         bronze = self.bronze()
         S.user_dim(bronze).write.mode("overwrite").parquet(self.path("silver", "user_dim"))
         S.post_dim(bronze).write.mode("overwrite").parquet(self.path("silver", "post_dim"))
@@ -123,14 +142,14 @@ class Lakehouse:
         )
 
     def users(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("silver", "user_dim"))
+        return self._read("parquet", "silver", "user_dim")
 
     def posts(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("silver", "post_dim"))
+        return self._read("parquet", "silver", "post_dim")
 
     def curated_partitioned(self) -> DataFrame:
         """Curated with its `event_date` partition column (enables pruning)."""
-        return self.spark.read.parquet(self.path("silver", "curated"))
+        return self._read("parquet", "silver", "curated")
 
     def curated(self) -> DataFrame:
         from ripplecast.schema import CURATED_COLUMNS
@@ -149,15 +168,18 @@ class Lakehouse:
         }
 
     def build_gold(self) -> None:
+        self._invalidate("gold")
         for name, df in self.gold_frames().items():
             df.write.mode("overwrite").parquet(self.path("gold", name))
 
     def gold(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("gold", name))
+        return self._read("parquet", "gold", name)
 
     # ---------------------------------------------------------- everything
     def ensure(self, upto: str = "gold") -> "Lakehouse":
         """Build missing layers up to `upto` (bronze | silver | gold)."""
+        if upto in self._ensured:
+            return self
         order = ["bronze", "silver", "gold"]
         marks = {
             "bronze": self.path("bronze"),
@@ -171,6 +193,7 @@ class Lakehouse:
             if rebuilt or not is_complete(self.spark, marks[layer]):
                 builders[layer]()
                 rebuilt = True
+        self._ensured.update(order[: order.index(upto) + 1])
         return self
 
 
