@@ -15,7 +15,6 @@ driver. Written layers are also the lineage cuts between stages.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +25,7 @@ from ripplecast.operators import gold as G
 from ripplecast.operators import silver as S
 from ripplecast.operators.dedup import dedup_earliest
 from ripplecast.operators.validate import rejected_events, valid_events
-from ripplecast.schema import BRONZE_COLUMNS, PARSED_COLUMNS
+from ripplecast.schema import BRONZE_COLUMNS
 from ripplecast.session import session_time_zone
 
 EVENT_DATE = "event_date"
@@ -67,7 +66,22 @@ class Lakehouse:
         key = (kind, parts)
         if key not in self._reads:
             path = self.path(*parts)
-            self._reads[key] = self.spark.read.text(path) if kind == "text" else self.spark.read.parquet(path)
+            if kind == "text":
+                df = self.spark.read.text(path)
+            elif kind == "batches":
+                # Written by the streaming sink (query_id=/batch_id= folders):
+                # only committed micro-batches; else a plain batch-written folder.
+                from ripplecast.streaming.ingest import committed_batches
+
+                batches = committed_batches(self.spark, path)
+                df = (
+                    self.spark.read.option("basePath", path).parquet(*batches)
+                    if batches
+                    else self.spark.read.parquet(path)
+                )
+            else:
+                df = self.spark.read.parquet(path)
+            self._reads[key] = df
         return self._reads[key]
 
     def _invalidate(self, *prefixes: str) -> None:
@@ -115,10 +129,10 @@ class Lakehouse:
     def bronze(self) -> DataFrame:
         # Streaming ingest writes query_id=/batch_id= sub-folders; only the
         # declared columns are exposed either way.
-        return self._read("parquet", "bronze").select(*BRONZE_COLUMNS)
+        return self._read("batches", "bronze").select(*BRONZE_COLUMNS)
 
     def rejects(self) -> DataFrame:
-        return self._read("parquet", "rejects")
+        return self._read("batches", "rejects").drop("query_id", "batch_id")
 
     # -------------------------------------------------------------- silver
     def build_silver(self) -> None:
@@ -197,9 +211,38 @@ class Lakehouse:
         return self
 
 
-def parsed_columns() -> tuple[str, ...]:
-    return PARSED_COLUMNS
-
-
-def local_path_exists(path: str) -> bool:
-    return os.path.exists(path)
+# Catalog names of the layers (database, table) → folder parts.
+CATALOG_TABLES: dict[tuple[str, str], tuple[str, ...]] = {
+    ("bronze", "raw_events"): ("bronze",),
+    ("bronze", "rejected_events"): ("rejects",),
+    ("silver", "user_dim"): ("silver", "user_dim"),
+    ("silver", "post_dim"): ("silver", "post_dim"),
+    ("silver", "curated_events"): ("silver", "curated"),
+    ("gold", "trending_hashtags"): ("gold", "trending_hashtags"),
+    ("gold", "viral_posts"): ("gold", "viral_posts"),
+    ("gold", "influencer_ranking"): ("gold", "influencer_ranking"),
+    ("gold", "comment_sentiment"): ("gold", "comment_sentiment"),
+}
+
+
+def register_catalog(lake: Lakehouse, prefix: str = "") -> list[str]:
+    """Expose the written layers as catalog tables `<prefix>bronze.raw_events`,
+    `<prefix>silver.curated_events`, `<prefix>gold.viral_posts`, … (external
+    Parquet tables over the layer folders), so SQL users can query them with
+    `spark.sql`. Idempotent; only metadata is touched. Call again after new
+    micro-batches land to register their folders."""
+    spark = lake.spark
+    made = []
+    for (db, table), parts in CATALOG_TABLES.items():
+        if not is_complete(spark, lake.path(*parts)) and not _hadoop_exists(spark, lake.path(*parts)):
+            continue
+        database = f"{prefix}{db}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        location = lake.path(*parts).replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} USING parquet LOCATION '{location}'")
+        if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{table}")):
+            # Partitioned folders (event_date=, query_id=/batch_id=) are tracked
+            # in the catalog: register new folders and drop vanished ones.
+            spark.sql(f"MSCK REPAIR TABLE {database}.{table} SYNC PARTITIONS")
+        made.append(f"{database}.{table}")
+    return made
