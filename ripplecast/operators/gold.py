@@ -83,16 +83,19 @@ def trending_hashtags(
     curated: DataFrame,
     windows_minutes: tuple[int, ...] = TRENDING_WINDOWS_MINUTES,
     top_n: int = TRENDING_TOP_N,
+    latest: Column | None = None,
 ) -> DataFrame:
     """Top-`top_n` hashtags by event count in each trailing window
     [latest - w, latest] (both ends closed), ranked by count desc, hashtag asc.
+    `latest` defaults to the maximum event time of `curated` (a scalar
+    subquery); a caller holding a manifest of the table can pass its own.
 
     One pass: events older than the widest window are filtered next to the
     scan; each remaining event is counted for every window it falls in with
     conditional counts, so the aggregation emits one row per hashtag (partial
     aggregation absorbs hot hashtags) and no event × window join is formed.
     """
-    latest = latest_event_time(curated)
+    latest = latest_event_time(curated) if latest is None else latest
     ws = sorted(set(int(w) for w in windows_minutes))
     widest = max(ws)
     ts = F.col("event_timestamp")
@@ -130,9 +133,11 @@ def viral_posts(
     threshold: int = VIRAL_LIKE_THRESHOLD,
     run_ts=None,
     session_tz: str = "UTC",
+    latest: Column | None = None,
 ) -> DataFrame:
-    """Posts with more than `threshold` likes in [latest - w, latest]."""
-    latest = latest_event_time(curated)
+    """Posts with more than `threshold` likes in [latest - w, latest].
+    `latest` defaults to the maximum event time of `curated`."""
+    latest = latest_event_time(curated) if latest is None else latest
     ts = F.col("event_timestamp")
     likes = curated.where(
         (F.col("event_type") == "like")

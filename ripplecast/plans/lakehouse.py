@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ripplecast.functions.parsing import parse_messages
@@ -29,6 +29,7 @@ from ripplecast.schema import BRONZE_COLUMNS
 from ripplecast.session import session_time_zone
 
 EVENT_DATE = "event_date"
+GOLD_TABLES = ("trending_hashtags", "viral_posts", "influencer_ranking", "comment_sentiment")
 
 
 def _hadoop_exists(spark: SparkSession, path: str) -> bool:
@@ -141,12 +142,21 @@ class Lakehouse:
         S.user_dim(bronze).write.mode("overwrite").parquet(self.path("silver", "user_dim"))
         S.post_dim(bronze).write.mode("overwrite").parquet(self.path("silver", "post_dim"))
         curated = S.curated_events(self.bronze(), self.users(), self.posts())
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        # Range-partition on time so each task writes a few contiguous dates:
-        # balanced tasks even when one day is hot, few files per date folder.
+        # Bounds of the table, gathered by the write job itself (no extra pass).
+        bounds = Observation("curated_bounds")
+        curated = curated.observe(
+            bounds,
+            F.max("event_timestamp").alias("max_event_timestamp"),
+            F.min("event_timestamp").alias("min_event_timestamp"),
+            F.count(F.lit(1)).alias("row_count"),
+        )
+        # REBALANCE by the partition column: AQE splits a hot date into
+        # advisory-size tasks and merges small ones, so the partitioned write gets
+        # balanced tasks and few files per date folder, with no sampling pass
+        # (a range repartition would run the joins twice).
         (
             curated.withColumn(EVENT_DATE, F.to_date("event_timestamp"))
-            .repartitionByRange(n, "event_timestamp", "event_id")
+            .hint("rebalance", EVENT_DATE)
             .write.mode("overwrite")
             # Static overwrite: a rebuild replaces the whole table, so no stale
             # date folder survives (and the job commit leaves `_SUCCESS`).
@@ -154,6 +164,12 @@ class Lakehouse:
             .partitionBy(EVENT_DATE)
             .parquet(self.path("silver", "curated"))
         )
+        # One-row manifest next to the table (metadata, not data).
+        b = bounds.get
+        self.spark.createDataFrame(
+            [(b.get("max_event_timestamp"), b.get("min_event_timestamp"), int(b.get("row_count") or 0))],
+            "max_event_timestamp timestamp_ntz, min_event_timestamp timestamp_ntz, row_count bigint",
+        ).coalesce(1).write.mode("overwrite").parquet(self.path("silver", "curated_bounds"))
 
     def users(self) -> DataFrame:
         return self._read("parquet", "silver", "user_dim")
@@ -165,21 +181,36 @@ class Lakehouse:
         """Curated with its `event_date` partition column (enables pruning)."""
         return self._read("parquet", "silver", "curated")
 
+    def latest_event_time(self) -> Column:
+        """MAX(event_timestamp) of curated as a scalar subquery over the one-row
+        bounds manifest written with the table; falls back to scanning curated."""
+        if is_complete(self.spark, self.path("silver", "curated_bounds")):
+            return self._read("parquet", "silver", "curated_bounds").select("max_event_timestamp").scalar()
+        return G.latest_event_time(self.curated_partitioned())
+
     def curated(self) -> DataFrame:
         from ripplecast.schema import CURATED_COLUMNS
 
         return self.curated_partitioned().select(*CURATED_COLUMNS)
 
     # ---------------------------------------------------------------- gold
-    def gold_frames(self) -> dict[str, DataFrame]:
+    def gold_frame(self, name: str) -> DataFrame:
         p = self.gold_params
         cur = self.curated_partitioned()
-        return {
-            "trending_hashtags": G.trending_hashtags(cur, p.trending_windows_minutes, p.trending_top_n),
-            "viral_posts": G.viral_posts(cur, p.viral_window_minutes, p.viral_threshold, p.run_ts, self.tz),
-            "influencer_ranking": G.influencer_ranking(cur, self.users(), run_ts=p.run_ts, session_tz=self.tz),
-            "comment_sentiment": G.comment_sentiment(cur, p.run_ts, self.tz),
-        }
+        if name == "trending_hashtags":
+            return G.trending_hashtags(cur, p.trending_windows_minutes, p.trending_top_n, latest=self.latest_event_time())
+        if name == "viral_posts":
+            return G.viral_posts(
+                cur, p.viral_window_minutes, p.viral_threshold, p.run_ts, self.tz, latest=self.latest_event_time()
+            )
+        if name == "influencer_ranking":
+            return G.influencer_ranking(cur, self.users(), run_ts=p.run_ts, session_tz=self.tz)
+        if name == "comment_sentiment":
+            return G.comment_sentiment(cur, p.run_ts, self.tz)
+        raise KeyError(name)
+
+    def gold_frames(self) -> dict[str, DataFrame]:
+        return {n: self.gold_frame(n) for n in GOLD_TABLES}
 
     def build_gold(self) -> None:
         self._invalidate("gold")

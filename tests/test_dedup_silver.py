@@ -139,3 +139,23 @@ def test_rebuilding_layers_is_idempotent(spark, scratch):
     lake.build_silver()
     lake.build_silver()
     assert (lake.curated().count(), lake.users().count()) == first == (2, 2)
+
+
+def test_curated_bounds_manifest_matches_the_table(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from ripplecast.plans.lakehouse import Lakehouse
+    from ripplecast.sources.driver_feed import driver_messages
+
+    lake = Lakehouse(spark, scratch)
+    lake.write_landing(driver_messages(spark, "/root/testdata/sf0.001"))
+    lake.build_bronze()
+    lake.build_silver()
+    b = spark.read.parquet(lake.path("silver", "curated_bounds")).collect()
+    cur = lake.curated().agg(
+        F.max("event_timestamp").alias("mx"), F.min("event_timestamp").alias("mn"), F.count(F.lit(1)).alias("n")
+    ).collect()[0]
+    assert len(b) == 1
+    assert (b[0].max_event_timestamp, b[0].min_event_timestamp, b[0].row_count) == (cur.mx, cur.mn, cur.n)
+    # the latest time used by the gold queries is the manifest's
+    assert spark.range(1).select(lake.latest_event_time().alias("t")).collect()[0].t == cur.mx
