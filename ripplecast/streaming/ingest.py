@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -99,15 +100,30 @@ def batch_folder(root: str, query_id: str, batch_id: int) -> str:
 def idempotent_batch_sink(
     root: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    skip_empty: bool = True,
 ) -> Callable[[DataFrame, int], None]:
     """foreachBatch function writing each micro-batch to its own folder with
-    overwrite (replay-safe). `prepare` maps the batch before writing."""
+    overwrite (replay-safe). `prepare` maps the batch before writing.
+
+    With `skip_empty`, a micro-batch without rows (all invalid or duplicate)
+    writes nothing. The batch is persisted for the emptiness check and the write
+    so the stateful upstream runs once; blocks lost with an executor are
+    recomputed from the (replayable) source offsets."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "adhoc"
         out = prepare(batch_df) if prepare else batch_df
-        out.write.mode("overwrite").parquet(batch_folder(root, query_id, batch_id))
+        if not skip_empty:
+            out.write.mode("overwrite").parquet(batch_folder(root, query_id, batch_id))
+            return
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if out.isEmpty():
+                return
+            out.write.mode("overwrite").parquet(batch_folder(root, query_id, batch_id))
+        finally:
+            out.unpersist()
 
     return write
 

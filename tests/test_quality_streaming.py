@@ -165,3 +165,20 @@ def test_kafka_options_builder():
         "subscribe": "social_media_events",
         "startingOffsets": "latest",
     }
+
+
+def test_empty_micro_batch_writes_nothing(spark, scratch):
+    import json
+
+    from ripplecast.streaming.ingest import committed_batches, file_messages, start_ingest
+
+    land = os.path.join(scratch, "landing")
+    os.makedirs(land)
+    bronze, ck = os.path.join(scratch, "bronze"), os.path.join(scratch, "ck")
+    _write_lines(os.path.join(land, "a.json"), [json.dumps(event(event_id="a"))])
+    _write_lines(os.path.join(land, "b.json"), [json.dumps(event(event_id=None)), "{broken"])  # all invalid
+    _write_lines(os.path.join(land, "c.json"), [json.dumps(event(event_id="a"))])  # only a duplicate
+    q = start_ingest(file_messages(spark, land, 1), bronze, ck, trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    assert len(committed_batches(spark, bronze)) == 1
