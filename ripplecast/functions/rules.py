@@ -4,8 +4,9 @@ Every rule is a boolean Column over the parsed (string) columns. An event is
 valid when every rule is TRUE; NULL counts as failure. Rules conditional on the
 event type do not apply when the type is NULL (that case already fails
 `event_type_known`), so a reject lists only rules that really failed.
-The conjunction is equal to the ingest job's single validity predicate,
-extended by `event_timestamp_parseable` (see README, deviations).
+The conjunction accepts exactly the events the original single validity
+predicate accepts, plus the `malformed_json` and `event_timestamp_parseable`
+rules (see README, deviations).
 """
 
 from __future__ import annotations
@@ -69,22 +70,3 @@ def failed_rules(rules: "OrderedDict[str, Column]") -> Column:
         ",",
         *[F.when(~F.coalesce(r, F.lit(False)), F.lit(name)) for name, r in rules.items()],
     )
-
-
-def reference_predicate() -> Column:
-    """The ingest job's original single predicate (no parse/JSON rules); kept to
-    test that the named rules agree with it."""
-    c = F.col
-    return (
-        c("event_id").isNotNull()
-        & c("event_type").isin(*EVENT_TYPES)
-        & c("user_id").isNotNull()
-        & c("event_timestamp").isNotNull()
-        & (
-            ~c("event_type").isin(*POST_EVENT_TYPES)
-            | (c("post_id").isNotNull() & c("post_creator_user_id").isNotNull() & c("hashtag").isNotNull())
-        )
-        & ((c("event_type") != "comment") | c("comment_text").isNotNull())
-        & ((c("event_type") != "follow") | c("target_user_id").isNotNull())
-        & ((c("event_type") != "profile_visit") | c("target_user_id").isNotNull())
-    )

@@ -63,32 +63,34 @@ def curated_events(bronze: DataFrame, users: DataFrame, posts: DataFrame) -> Dat
     `spark.sql.autoBroadcastJoinThreshold`, otherwise sort-merge; AQE re-plans
     from runtime sizes and splits partitions of hot keys (skew join).
     """
-    r = bronze.select(
+    events = bronze.select(
         "event_id", "event_type", "user_id", "target_user_id", "post_id", "comment_text", "event_timestamp"
-    ).alias("r")
-    u = users.select(F.col("user_id").alias("u_user_id"), F.col("username").alias("u_username"), F.col("country").alias("u_country"))
-    tu = users.select(F.col("user_id").alias("tu_user_id"), F.col("username").alias("tu_username"))
-    p = posts.select(
-        F.col("post_id").alias("p_post_id"), F.col("user_id").alias("p_user_id"), F.col("hashtag").alias("p_hashtag")
+    )
+    actors = users.select(
+        F.col("user_id").alias("actor_id"), F.col("username").alias("actor_name"), F.col("country").alias("actor_country")
+    )
+    targets = users.select(F.col("user_id").alias("target_id"), F.col("username").alias("target_name"))
+    post_info = posts.select(
+        F.col("post_id").alias("dim_post_id"), F.col("user_id").alias("creator_id"), F.col("hashtag").alias("post_tag")
     )
     joined = (
-        r.join(u, F.col("r.user_id") == F.col("u_user_id"), "left")
-        .join(tu, F.col("r.target_user_id") == F.col("tu_user_id"), "left")
-        .join(p, F.col("r.post_id") == F.col("p_post_id"), "left")
+        events.join(actors, events["user_id"] == actors["actor_id"], "left")
+        .join(targets, events["target_user_id"] == targets["target_id"], "left")
+        .join(post_info, events["post_id"] == post_info["dim_post_id"], "left")
     )
     out = joined.select(
-        F.col("r.event_id").alias("event_id"),
-        F.col("r.event_type").alias("event_type"),
-        F.col("r.user_id").alias("user_id"),
-        F.col("u_username").alias("username"),
-        F.col("u_country").alias("country"),
-        F.col("r.target_user_id").alias("target_user_id"),
-        F.col("tu_username").alias("target_username"),
-        F.col("r.post_id").alias("post_id"),
-        F.col("p_user_id").alias("post_creator_user_id"),
-        F.col("p_hashtag").alias("hashtag"),
-        F.col("r.comment_text").alias("comment_text"),
-        F.col("r.event_timestamp").alias("event_timestamp"),
+        "event_id",
+        "event_type",
+        "user_id",
+        F.col("actor_name").alias("username"),
+        F.col("actor_country").alias("country"),
+        "target_user_id",
+        F.col("target_name").alias("target_username"),
+        "post_id",
+        F.col("creator_id").alias("post_creator_user_id"),
+        F.col("post_tag").alias("hashtag"),
+        "comment_text",
+        "event_timestamp",
     )
     assert tuple(out.columns) == CURATED_COLUMNS
     return out

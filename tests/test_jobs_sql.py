@@ -55,12 +55,13 @@ def test_stream_ingest_counts(spark, built):
 
 def test_sql_duplicate_and_missing_checks(spark, built):
     dup = spark.sql(
-        "SELECT event_id, COUNT(*) AS duplicate_count FROM silver.curated_events GROUP BY event_id HAVING COUNT(*) > 1"
+        "SELECT event_id, n AS duplicate_count FROM "
+        "(SELECT event_id, count(1) AS n FROM silver.curated_events GROUP BY 1) WHERE n >= 2"
     )
     assert same(dup, Q.duplicate_events(built.curated()))
     miss = spark.sql(
-        "SELECT COUNT_IF(event_id IS NULL) AS null_event_id, COUNT_IF(event_type IS NULL) AS null_event_type, "
-        "COUNT_IF(user_id IS NULL) AS null_user_id, COUNT_IF(event_timestamp IS NULL) AS null_event_timestamp "
+        "SELECT count(1) - count(event_id) AS null_event_id, count(1) - count(event_type) AS null_event_type, "
+        "count(1) - count(user_id) AS null_user_id, count(1) - count(event_timestamp) AS null_event_timestamp "
         "FROM silver.curated_events"
     )
     assert same(miss, Q.missing_fields(built.curated()))
@@ -69,57 +70,52 @@ def test_sql_duplicate_and_missing_checks(spark, built):
 def test_sql_first_seen_dimension(spark, built):
     users = spark.sql(
         """
-        SELECT user_id, username, country, created_at FROM (
-            SELECT user_id, username, country, user_created_at AS created_at,
-                   ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id) AS rn
-            FROM bronze.raw_events WHERE user_id IS NOT NULL) WHERE rn = 1
+        SELECT user_id, first.username, first.country, first.created_at FROM (
+            SELECT user_id,
+                   min_by(named_struct('username', username, 'country', country, 'created_at', user_created_at),
+                          named_struct('t', event_timestamp, 'id', event_id)) AS first
+            FROM bronze.raw_events WHERE user_id IS NOT NULL GROUP BY user_id)
         """
     )
     assert users.count() == 15
     assert same(users, spark.table("silver.user_dim"))
 
 
-def test_sql_trending_theta_join_equals_one_pass_operator(spark, built):
+def test_sql_trending_equals_one_pass_operator(spark, built):
+    spans = (DAY, 5 * DAY, 15 * DAY)
     sql = f"""
-    WITH max_time AS (SELECT MAX(event_timestamp) AS latest_timestamp FROM silver.curated_events),
-    windows AS (SELECT {DAY} AS window_minutes UNION ALL SELECT {5 * DAY} UNION ALL SELECT {15 * DAY}),
-    hashtag_counts AS (
-        SELECT w.window_minutes, DATEADD(minute, -w.window_minutes, m.latest_timestamp) AS window_start,
-               m.latest_timestamp AS window_end, c.hashtag, COUNT(*) AS event_count
-        FROM windows w CROSS JOIN max_time m
-        JOIN silver.curated_events c
-          ON c.event_timestamp >= DATEADD(minute, -w.window_minutes, m.latest_timestamp)
-         AND c.event_timestamp <= m.latest_timestamp
-        WHERE c.hashtag IS NOT NULL
-        GROUP BY w.window_minutes, m.latest_timestamp, c.hashtag),
-    ranked AS (
-        SELECT window_minutes, window_start, window_end, hashtag, event_count,
-               ROW_NUMBER() OVER (PARTITION BY window_minutes ORDER BY event_count DESC, hashtag) AS rank
-        FROM hashtag_counts)
-    SELECT CAST(window_minutes AS BIGINT) AS window_minutes, hashtag, event_count, CAST(rank AS BIGINT) AS rank,
-           window_start, window_end
-    FROM ranked WHERE rank <= 10
+    SELECT span AS window_minutes, hashtag, n AS event_count, pos AS rank,
+           hi - make_dt_interval(0, 0, CAST(span AS INT)) AS window_start, hi AS window_end
+    FROM (
+        SELECT span, hashtag, hi, n,
+               CAST(row_number() OVER (PARTITION BY span ORDER BY n DESC, hashtag) AS BIGINT) AS pos
+        FROM (
+            SELECT span, hashtag, hi, count(1) AS n
+            FROM silver.curated_events c
+            CROSS JOIN (SELECT max(event_timestamp) AS hi FROM silver.curated_events) b
+            LATERAL VIEW explode(array({", ".join(f"CAST({w} AS BIGINT)" for w in spans)})) s AS span
+            WHERE c.hashtag IS NOT NULL
+              AND c.event_timestamp BETWEEN hi - make_dt_interval(0, 0, CAST(span AS INT)) AND hi
+            GROUP BY span, hashtag, hi))
+    WHERE pos <= 10
     """
-    got = G.trending_hashtags(built.curated_partitioned(), (DAY, 5 * DAY, 15 * DAY))
+    got = G.trending_hashtags(built.curated_partitioned(), spans)
     assert same(spark.sql(sql), got)
     assert same(spark.table("gold.trending_hashtags"), got)
 
 
 def test_sql_influencers_equal_operator(spark, built):
     sql = """
-    WITH engagement AS (
+    SELECT t.user_id, d.username,
+           CAST(t.score AS DECIMAL(10,2)) AS engagement_score,
+           CAST(row_number() OVER (ORDER BY t.score DESC, t.user_id) AS BIGINT) AS rank
+    FROM (
         SELECT post_creator_user_id AS user_id,
-               SUM(CASE WHEN event_type = 'like' THEN 1 ELSE 0 END) AS like_count,
-               SUM(CASE WHEN event_type = 'comment' THEN 1 ELSE 0 END) AS comment_count,
-               SUM(CASE WHEN event_type = 'share' THEN 1 ELSE 0 END) AS share_count
+               sum(CASE event_type WHEN 'like' THEN 1 WHEN 'comment' THEN 2 WHEN 'share' THEN 3 END) AS score
         FROM silver.curated_events
         WHERE post_creator_user_id IS NOT NULL AND event_type IN ('like', 'comment', 'share')
-        GROUP BY post_creator_user_id)
-    SELECT e.user_id, u.username,
-           CAST(like_count + comment_count * 2 + share_count * 3 AS DECIMAL(10,2)) AS engagement_score,
-           CAST(ROW_NUMBER() OVER (ORDER BY like_count + comment_count * 2 + share_count * 3 DESC, e.user_id) AS BIGINT)
-             AS rank
-    FROM engagement e LEFT JOIN silver.user_dim u ON e.user_id = u.user_id
+        GROUP BY 1) t
+    LEFT JOIN silver.user_dim d ON d.user_id = t.user_id
     """
     got = spark.table("gold.influencer_ranking").select("user_id", "username", "engagement_score", "rank")
     assert same(spark.sql(sql), got)

@@ -7,7 +7,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import curated_df, event
 from ripplecast.operators import quality as Q
