@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ripplecast.operators.joins import lookup_left_join
 from ripplecast.schema import CURATED_COLUMNS
 
 
@@ -55,13 +56,19 @@ def post_dim(bronze: DataFrame) -> DataFrame:
     )
 
 
-def curated_events(bronze: DataFrame, users: DataFrame, posts: DataFrame) -> DataFrame:
+def curated_events(
+    bronze: DataFrame,
+    users: DataFrame,
+    posts: DataFrame,
+    rows_per_split: int = 2_000_000,
+    force_split: bool = False,
+) -> DataFrame:
     """CURATED_EVENTS: every bronze row, re-enriched from the dimensions.
 
-    Three left equi-joins (actor, target, post). No join hint: the planner
-    broadcasts a dimension only when its measured size is under
-    `spark.sql.autoBroadcastJoinThreshold`, otherwise sort-merge; AQE re-plans
-    from runtime sizes and splits partitions of hot keys (skew join).
+    Three left equi-joins (actor, target, post), each a `lookup_left_join`:
+    a dimension under the broadcast threshold is broadcast by the planner; a
+    larger one is sort-merge joined with hot keys (a viral post, a bot user, the
+    NULL target of most events) split over several tasks.
     """
     events = bronze.select(
         "event_id", "event_type", "user_id", "target_user_id", "post_id", "comment_text", "event_timestamp"
@@ -73,11 +80,10 @@ def curated_events(bronze: DataFrame, users: DataFrame, posts: DataFrame) -> Dat
     post_info = posts.select(
         F.col("post_id").alias("dim_post_id"), F.col("user_id").alias("creator_id"), F.col("hashtag").alias("post_tag")
     )
-    joined = (
-        events.join(actors, events["user_id"] == actors["actor_id"], "left")
-        .join(targets, events["target_user_id"] == targets["target_id"], "left")
-        .join(post_info, events["post_id"] == post_info["dim_post_id"], "left")
-    )
+    opts = dict(salt_col="event_id", rows_per_split=rows_per_split, force_split=force_split)
+    joined = lookup_left_join(events, actors, "user_id", "actor_id", **opts)
+    joined = lookup_left_join(joined, targets, "target_user_id", "target_id", **opts)
+    joined = lookup_left_join(joined, post_info, "post_id", "dim_post_id", **opts)
     out = joined.select(
         "event_id",
         "event_type",
