@@ -23,7 +23,8 @@ from ripplecast.constants import (
     VIRAL_WINDOW_MINUTES,
 )
 from ripplecast.functions.sentiment import lexicon_sentiment
-from ripplecast.operators.ranking import global_row_number
+from ripplecast.operators.joins import lookup_left_join
+from ripplecast.operators.ranking import global_row_number, global_running_sum
 from ripplecast.schema import INFLUENCER_COLUMNS, SENTIMENT_COLUMNS, TRENDING_COLUMNS, VIRAL_COLUMNS
 
 def _epoch() -> Column:
@@ -254,14 +255,15 @@ def viral_posts_any_window(
     `window_minutes` (frame [t - w, t], both ends closed, at any like time t).
     Returns the peak count and the earliest window reaching it.
 
-    Exact and skew-safe: time is cut into buckets of width w; a window ending in
-    bucket b only sees buckets b-1 and b. (1) Likes are counted per
-    (post, bucket) with a partial aggregation. (2) Only (post, bucket) pairs
-    whose two-bucket total exceeds the threshold can hold a viral window; all
-    others are pruned exactly. (3) For the survivors each like is sent to its
-    own bucket and, as context, to the next; a RANGE window per (post, bucket)
-    counts the frame. A hot post is thus spread over its buckets instead of one
-    task.
+    Exact and skew-proof, from prefix counts instead of per-post windows:
+    the frame count of a like at t is  #likes(post, <= t) - #likes(post, < t - w).
+    Both terms are read off one global running count of likes in
+    (post, time) order, at two marker rows per like: one at (t - w) sorting before
+    likes of that instant, one at t sorting after them. The running count is
+    computed over range partitions (`global_running_sum`), so neither a hot post
+    nor a hot time bucket is ever gathered into one task. Posts whose total
+    likes do not exceed the threshold cannot qualify and are pruned exactly
+    first (a hot post is split by `lookup_left_join`).
     """
     width_us = int(window_minutes) * 60 * 1_000_000
     likes = curated.where(
@@ -269,30 +271,45 @@ def viral_posts_any_window(
     ).select(
         "post_id",
         F.timestamp_diff("MICROSECOND", _epoch(), F.col("event_timestamp")).alias("t"),
+        F.coalesce(F.col("event_id"), F.lit("")).alias("rid"),
     )
-    likes = likes.select("post_id", "t", F.floor(F.col("t") / F.lit(width_us)).alias("b"))
-    per_bucket = likes.groupBy("post_id", "b").agg(F.count(F.lit(1)).alias("n"))
-    prev = per_bucket.select("post_id", (F.col("b") + 1).alias("b"), F.col("n").alias("n_prev"))
-    candidates = (
-        per_bucket.join(prev, ["post_id", "b"], "left")
-        .where(F.col("n") + F.coalesce(F.col("n_prev"), F.lit(0)) > threshold)
-        .select("post_id", "b")
+    totals = (
+        likes.groupBy(F.col("post_id").alias("__tp"))
+        .agg(F.count(F.lit(1)).alias("__total"))
+        .where(F.col("__total") > threshold)
     )
-    own = likes.select("post_id", "t", F.col("b").alias("home"), F.lit(True).alias("own"))
-    ctx = likes.select("post_id", "t", (F.col("b") + 1).alias("home"), F.lit(False).alias("own"))
-    expanded = own.unionByName(ctx).join(
-        candidates.withColumnRenamed("b", "home"), ["post_id", "home"], "left_semi"
+    cand = lookup_left_join(likes, totals, "post_id", "__tp", salt_col="rid").where(F.col("__total").isNotNull())
+    cand = cand.select("post_id", "t", "rid")
+    # kind: 0 = marker at t - w (before likes of that instant), 1 = like, 2 = marker at t (after them)
+    rows = cand.select(
+        "post_id", "rid", F.col("t").alias("t0"),
+        F.explode(
+            F.array(
+                F.struct((F.col("t") - F.lit(width_us)).alias("at"), F.lit(0).alias("kind")),
+                F.struct(F.col("t").alias("at"), F.lit(1).alias("kind")),
+                F.struct(F.col("t").alias("at"), F.lit(2).alias("kind")),
+            )
+        ).alias("m"),
+    ).select("post_id", "rid", "t0", F.col("m.at").alias("at"), F.col("m.kind").alias("kind"))
+    run = global_running_sum(
+        rows,
+        [F.col("post_id"), F.col("at"), F.col("kind"), F.col("rid"), F.col("t0")],
+        (F.col("kind") == 1).cast("long"),
+        "run",
+    )
+    framed = run.groupBy("post_id", "rid", "t0").agg(
+        (F.max(F.when(F.col("kind") == 2, F.col("run"))) - F.max(F.when(F.col("kind") == 0, F.col("run")))).alias(
+            "cnt"
+        )
     )
-    frame = Window.partitionBy("post_id", "home").orderBy("t").rangeBetween(-width_us, 0)
-    counted = expanded.select("post_id", "t", "own", F.count(F.lit(1)).over(frame).alias("cnt")).where("own")
-    per_post = counted.where(F.col("cnt") > threshold).groupBy("post_id").agg(
+    per_post = framed.where(F.col("cnt") > threshold).groupBy("post_id").agg(
         F.max("cnt").alias("like_count"),
-        F.min_by("t", F.struct(-F.col("cnt"), F.col("t"))).alias("end_us"),
+        F.min_by("t0", F.struct(-F.col("cnt"), F.col("t0"))).alias("end_us"),
     )
     end_ts = F.timestamp_add("MICROSECOND", F.col("end_us"), _epoch())
     return per_post.select(
         "post_id",
-        "like_count",
+        F.col("like_count").cast("long").alias("like_count"),
         F.lit(int(window_minutes)).cast("long").alias("window_minutes"),
         (end_ts - minutes(window_minutes)).alias("window_start"),
         end_ts.alias("window_end"),

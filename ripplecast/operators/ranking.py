@@ -54,6 +54,38 @@ def global_row_number(
     )
 
 
+def global_running_sum(
+    df: DataFrame,
+    order: list[Column],
+    value: Column,
+    name: str = "running",
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add `name` = sum of `value` over all rows up to and including this one in
+    the total order `order` (a global cumulative sum).
+
+    Same scheme as `global_row_number`: range partitions follow the order, a
+    window per partition adds up its own rows (each range partition is one
+    balanced task), and offsets from one row per partition (bounded, broadcast)
+    shift the partitions. No key or time bucket is ever gathered into one task.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.select("*", value.alias("__v")).repartitionByRange(n, *order)
+    frozen = cut_lineage(ranged.select("*", F.spark_partition_id().alias("__pid")))
+    w = Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = frozen.select("*", F.sum("__v").over(w).alias("__local"))
+    sizes = frozen.groupBy("__pid").agg(F.sum("__v").alias("__n"))
+    offsets = sizes.select(
+        "__pid",
+        F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)).alias("__off"),
+    )
+    return local.join(F.broadcast(offsets), "__pid", "left").select(
+        *[F.col(c) for c in df.columns],
+        (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).alias(name),
+    )
+
+
 def local_row_number(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """Plain single-task form; only for inputs with a known small bound."""
     return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))

@@ -143,3 +143,16 @@ def test_viral_any_window_matches_brute_force(spark):
     assert got == _brute_any_window(likes, 5, 4)
     for r in out:
         assert r.window_start == r.window_end - dt.timedelta(minutes=5)
+
+
+def test_viral_any_window_burst_in_one_bucket_matches_brute_force(spark):
+    """A third of all likes on one post within one minute (one time bucket)."""
+    base = dt.datetime(2026, 3, 1, 8, 0, 0)
+    likes = [("burst", base + dt.timedelta(milliseconds=137 * i)) for i in range(300)]
+    rnd = random.Random(11)
+    likes += [(f"p{i % 20}", base + dt.timedelta(seconds=rnd.randint(-3600, 3600))) for i in range(600)]
+    rows = [dict(event_type="like", post_id=p, event_timestamp=t) for p, t in likes]
+    out = G.viral_posts_any_window(curated_df(spark, rows), window_minutes=5, threshold=9).collect()
+    got = {r.post_id: (r.like_count, r.window_end) for r in out}
+    assert got == _brute_any_window(likes, 5, 9)
+    assert got["burst"][0] == 300
