@@ -119,3 +119,23 @@ def test_sql_influencers_equal_operator(spark, built):
     """
     got = spark.table("gold.influencer_ranking").select("user_id", "username", "engagement_score", "rank")
     assert same(spark.sql(sql), got)
+
+
+def test_cli_ingest_build_report(spark, capsys):
+    import tempfile
+
+    from ripplecast.jobs import main
+    from ripplecast.plans.lakehouse import Lakehouse
+    from ripplecast.sources.driver_feed import driver_messages
+
+    root = tempfile.mkdtemp(prefix="ripplecast-cli-")
+    landing = tempfile.mkdtemp(prefix="ripplecast-cli-landing-")
+    driver_messages(spark, SF).write.mode("overwrite").text(landing)
+    assert main(["ingest", "--root", root, "--files", landing, "--available-now"]) == 0
+    assert main(["build", "--root", root, "--windows", f"{DAY},{5 * DAY},{15 * DAY}", "--viral-minutes",
+                 str(5 * DAY), "--viral-threshold", "2"]) == 0
+    lake = Lakehouse(spark, root)
+    assert lake.bronze().count() == 897 and lake.rejects().count() == 106
+    assert lake.gold("trending_hashtags").count() == 30
+    assert main(["report", "--root", root]) == 0
+    assert "duplicate_events" in capsys.readouterr().out
