@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ripplecast.constants import TRENDING_TOP_N, TRENDING_WINDOWS_MINUTES, VIRAL_LIKE_THRESHOLD, VIRAL_WINDOW_MINUTES
 from ripplecast.functions.parsing import parse_messages
 from ripplecast.operators import gold as G
 from ripplecast.operators import silver as S
@@ -46,10 +47,10 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 @dataclass
 class GoldParams:
-    trending_windows_minutes: tuple[int, ...] = (1, 5, 15)
-    trending_top_n: int = 10
-    viral_window_minutes: int = 5
-    viral_threshold: int = 500
+    trending_windows_minutes: tuple[int, ...] = TRENDING_WINDOWS_MINUTES
+    trending_top_n: int = TRENDING_TOP_N
+    viral_window_minutes: int = VIRAL_WINDOW_MINUTES
+    viral_threshold: int = VIRAL_LIKE_THRESHOLD
     run_ts: object = None
 
 
@@ -234,8 +235,14 @@ class Lakehouse:
         builders = {"bronze": self.build_bronze, "silver": self.build_silver, "gold": self.build_gold}
         rebuilt = False
         for layer in order[: order.index(upto) + 1]:
+            done = is_complete(self.spark, marks[layer])
+            if layer == "bronze" and not done:
+                # bronze written by the streaming sink: committed batch folders
+                from ripplecast.streaming.ingest import committed_batches
+
+                done = bool(committed_batches(self.spark, marks[layer]))
             # A rebuilt layer invalidates everything derived from it.
-            if rebuilt or not is_complete(self.spark, marks[layer]):
+            if rebuilt or not done:
                 builders[layer]()
                 rebuilt = True
         self._ensured.update(order[: order.index(upto) + 1])

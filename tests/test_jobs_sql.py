@@ -139,3 +139,13 @@ def test_cli_ingest_build_report(spark, capsys):
     assert lake.gold("trending_hashtags").count() == 30
     assert main(["report", "--root", root]) == 0
     assert "duplicate_events" in capsys.readouterr().out
+
+
+def test_ensure_keeps_stream_written_bronze(spark, built):
+    from ripplecast.plans.lakehouse import Lakehouse
+
+    again = Lakehouse(spark, built.root, built.gold_params)
+    again.ensure("gold")
+    # still the stream's batch folders (no batch rebuild over them)
+    assert again.bronze().count() == 897
+    assert again.spark.read.parquet(again.path("bronze")).columns[-2:] == ["query_id", "batch_id"]
