@@ -12,11 +12,9 @@ from __future__ import annotations
 import hashlib
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import DataFrame
-
-from ripplecast.plans.lakehouse import GoldParams, Lakehouse, is_complete
+from ripplecast.plans.lakehouse import GoldParams, Lakehouse
 from ripplecast.schema import PARSED_COLUMNS
 from ripplecast.session import work_dir
 from ripplecast.sources.driver_feed import driver_messages
@@ -46,9 +44,7 @@ def driver_lake(spark: SparkSession, sf_dir: str, upto: str = "gold") -> Lakehou
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
         lake = Lakehouse(spark, f"{work_dir(spark)}/ripplecast-lake/{tag}", DRIVER_GOLD)
         _LAKES[key] = lake
-    if "landing" not in lake._ensured and not is_complete(spark, lake.path("landing")):
-        lake.write_landing(driver_messages(spark, sf_dir))
-    lake._ensured.add("landing")
+    lake.ensure_landing(lambda: driver_messages(spark, sf_dir))
     if upto != "landing":
         lake.ensure(upto)
     return lake

@@ -15,6 +15,7 @@ driver. Written layers are also the lineage cuts between stages.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -105,6 +106,12 @@ class Lakehouse:
         self._invalidate("landing")
         messages.select(F.col("value").cast("string")).write.mode("overwrite").text(self.path("landing"))
 
+    def ensure_landing(self, messages: "Callable[[], DataFrame]") -> None:
+        """Write the landing folder from `messages()` unless it is complete."""
+        if "landing" not in self._ensured and not is_complete(self.spark, self.path("landing")):
+            self.write_landing(messages())
+        self._ensured.add("landing")
+
     def landing(self) -> DataFrame:
         return self._read("text", "landing")
 
