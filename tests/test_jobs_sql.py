@@ -91,11 +91,11 @@ def test_sql_trending_equals_one_pass_operator(spark, built):
                CAST(row_number() OVER (PARTITION BY span ORDER BY n DESC, hashtag) AS BIGINT) AS pos
         FROM (
             SELECT span, hashtag, hi, count(1) AS n
-            FROM silver.curated_events c
-            CROSS JOIN (SELECT max(event_timestamp) AS hi FROM silver.curated_events) b
+            FROM (SELECT hashtag, event_timestamp,
+                         (SELECT max(event_timestamp) FROM silver.curated_events) AS hi
+                  FROM silver.curated_events WHERE hashtag IS NOT NULL) c
             LATERAL VIEW explode(array({", ".join(f"CAST({w} AS BIGINT)" for w in spans)})) s AS span
-            WHERE c.hashtag IS NOT NULL
-              AND c.event_timestamp BETWEEN hi - make_dt_interval(0, 0, CAST(span AS INT)) AND hi
+            WHERE c.event_timestamp BETWEEN hi - make_dt_interval(0, 0, CAST(span AS INT)) AND hi
             GROUP BY span, hashtag, hi))
     WHERE pos <= 10
     """
