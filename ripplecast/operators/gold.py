@@ -1,5 +1,5 @@
 """GOLD: trending hashtags, viral posts, influencer ranking, comment sentiment,
-plus the two README-level analyses (hashtag trend over time, viral posts in
+plus two further analyses of the same data (hashtag trend over time, viral posts in
 any window).
 
 All functions take the curated DataFrame (columns of CURATED_EVENTS) and return

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 S = T.StringType()
-TS = T.TimestampNTZType()  # UTC wall clock; see README "Time zones"
+TS = T.TimestampNTZType()  # UTC wall clock; see README "Semantic decisions"
 
 # JSON message as sent by producers: 14 string fields, all nullable.
 EVENT_MESSAGE_SCHEMA = T.StructType(

@@ -78,7 +78,7 @@ def test_empty_string_counts_as_present(spark):
 
 
 # The producers' six well-formed but invalid events and the malformed message.
-REFERENCE_NEGATIVES = [
+PRODUCER_NEGATIVES = [
     (event(event_id="invalid_001", user_id=None), "user_id_present"),
     (event(event_id="invalid_002", event_type="unknown_event"), "event_type_known"),
     (
@@ -117,7 +117,7 @@ EXTRA_NEGATIVES = [
 ]
 
 
-@pytest.mark.parametrize("msg,rule", REFERENCE_NEGATIVES + EXTRA_NEGATIVES)
+@pytest.mark.parametrize("msg,rule", PRODUCER_NEGATIVES + EXTRA_NEGATIVES)
 def test_each_invalid_event_is_rejected_with_its_rule(spark, msg, rule):
     parsed = parse_messages(messages_df(spark, [msg]), keep_value=True)
     assert valid_events(parsed.drop("value")).count() == 0
