@@ -29,6 +29,8 @@ DRIVER_GOLD = GoldParams(
     run_ts="2024-02-01 00:00:00",
 )
 ANY_WINDOW_MINUTES = 5 * DAY
+STREAM_ALERT_SLIDE_MINUTES = DAY
+STREAM_WATERMARK = "1 day"
 ANY_WINDOW_THRESHOLD = 10
 TREND_BUCKET_MINUTES = DAY
 
@@ -80,3 +82,30 @@ def stream_bronze(
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return read_batches(spark, root + "/bronze").select(*PARSED_COLUMNS)
+
+
+def stream_viral_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming viral alerts over the landing folder: ingest (parse, validate,
+    exact dedup) → likes per post in sliding windows of 5 days every day with a
+    1-day watermark, append mode, run to completion and read back. Windows that
+    close by the final watermark are emitted."""
+    from ripplecast.session import session_time_zone
+    from ripplecast.streaming.analytics import start_append, viral_alerts
+    from ripplecast.streaming.ingest import clean_stream, file_messages, read_batches
+
+    lake = driver_lake(spark, sf_dir, "landing")
+    tz = session_time_zone(spark)
+    root = lake.path("stream", "viral-alerts")
+    alerts = viral_alerts(
+        clean_stream(file_messages(spark, lake.path("landing")), session_tz=tz),
+        window_minutes=DRIVER_GOLD.viral_window_minutes,
+        slide_minutes=STREAM_ALERT_SLIDE_MINUTES,
+        threshold=DRIVER_GOLD.viral_threshold,
+        watermark_delay=STREAM_WATERMARK,
+        session_tz=tz,
+    )
+    query = start_append(alerts, root + "/out", root + "/_checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return read_batches(spark, root + "/out", columns=("post_id", "window_start", "window_end", "like_count"))
