@@ -108,4 +108,9 @@ def stream_viral_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return read_batches(spark, root + "/out", columns=("post_id", "window_start", "window_end", "like_count"))
+    return read_batches(
+        spark,
+        root + "/out",
+        columns=("post_id", "window_start", "window_end", "like_count"),
+        schema="post_id string, window_start timestamp_ntz, window_end timestamp_ntz, like_count bigint",
+    )

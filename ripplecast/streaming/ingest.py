@@ -197,11 +197,12 @@ def committed_batches(spark: SparkSession, root: str) -> list[str]:
     return sorted(out)
 
 
-def read_batches(spark: SparkSession, root: str, columns=BRONZE_COLUMNS) -> DataFrame:
-    """All committed micro-batch folders as one DataFrame (declared columns)."""
+def read_batches(spark: SparkSession, root: str, columns=BRONZE_COLUMNS, schema=None) -> DataFrame:
+    """All committed micro-batch folders as one DataFrame (declared columns).
+    With no committed batch yet: an empty frame of `schema` (default BRONZE)."""
     paths = committed_batches(spark, root)
     if not paths:
         from ripplecast.schema import BRONZE_SCHEMA
 
-        return spark.createDataFrame([], BRONZE_SCHEMA).select(*columns)
+        return spark.createDataFrame([], schema or BRONZE_SCHEMA).select(*columns)
     return spark.read.option("basePath", root).parquet(*paths).select(*columns)

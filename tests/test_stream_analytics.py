@@ -31,8 +31,10 @@ def test_viral_alerts_emit_closed_windows_and_drop_late_rows(spark, scratch):
         q = start_append(stream, out, ck, trigger={"availableNow": True})
         q.awaitTermination()
         assert q.exception() is None
-        return sorted((r.post_id, r.window_start, r.like_count) for r in read_batches(
-            spark, out, columns=("post_id", "window_start", "window_end", "like_count")).collect())
+        cols = ("post_id", "window_start", "window_end", "like_count")
+        schema = "post_id string, window_start timestamp_ntz, window_end timestamp_ntz, like_count bigint"
+        return sorted((r.post_id, r.window_start, r.like_count)
+                      for r in read_batches(spark, out, columns=cols, schema=schema).collect())
 
     # 4 likes in [10:00, 10:05), 2 likes in [10:05, 10:10)
     _write(os.path.join(land, "1.json"),
