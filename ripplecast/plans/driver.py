@@ -84,18 +84,29 @@ def stream_bronze(
     return read_batches(spark, root + "/bronze").select(*PARSED_COLUMNS)
 
 
+def _run_stream_to_completion(stream: DataFrame, root: str, columns, schema) -> DataFrame:
+    from ripplecast.streaming.analytics import start_append
+    from ripplecast.streaming.ingest import read_batches
+
+    spark = stream.sparkSession
+    query = start_append(stream, root + "/out", root + "/_checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return read_batches(spark, root + "/out", columns=columns, schema=schema)
+
+
 def stream_viral_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming viral alerts over the landing folder: ingest (parse, validate,
     exact dedup) → likes per post in sliding windows of 5 days every day with a
     1-day watermark, append mode, run to completion and read back. Windows that
     close by the final watermark are emitted."""
     from ripplecast.session import session_time_zone
-    from ripplecast.streaming.analytics import start_append, viral_alerts
-    from ripplecast.streaming.ingest import clean_stream, file_messages, read_batches
+    from ripplecast.streaming.analytics import viral_alerts
+    from ripplecast.streaming.ingest import clean_stream, file_messages
 
     lake = driver_lake(spark, sf_dir, "landing")
     tz = session_time_zone(spark)
-    root = lake.path("stream", "viral-alerts")
     alerts = viral_alerts(
         clean_stream(file_messages(spark, lake.path("landing")), session_tz=tz),
         window_minutes=DRIVER_GOLD.viral_window_minutes,
@@ -104,13 +115,32 @@ def stream_viral_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         watermark_delay=STREAM_WATERMARK,
         session_tz=tz,
     )
-    query = start_append(alerts, root + "/out", root + "/_checkpoint", trigger={"availableNow": True})
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return read_batches(
-        spark,
-        root + "/out",
-        columns=("post_id", "window_start", "window_end", "like_count"),
-        schema="post_id string, window_start timestamp_ntz, window_end timestamp_ntz, like_count bigint",
+    return _run_stream_to_completion(
+        alerts,
+        lake.path("stream", "viral-alerts"),
+        ("post_id", "window_start", "window_end", "like_count"),
+        "post_id string, window_start timestamp_ntz, window_end timestamp_ntz, like_count bigint",
+    )
+
+
+def stream_hashtag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming hashtag counts per 1-day tumbling window (1-day watermark,
+    append mode) over the ingested stream, run to completion and read back."""
+    from ripplecast.session import session_time_zone
+    from ripplecast.streaming.analytics import hashtag_counts
+    from ripplecast.streaming.ingest import clean_stream, file_messages
+
+    lake = driver_lake(spark, sf_dir, "landing")
+    tz = session_time_zone(spark)
+    counts = hashtag_counts(
+        clean_stream(file_messages(spark, lake.path("landing")), session_tz=tz),
+        bucket_minutes=TREND_BUCKET_MINUTES,
+        watermark_delay=STREAM_WATERMARK,
+        session_tz=tz,
+    )
+    return _run_stream_to_completion(
+        counts,
+        lake.path("stream", "hashtag-counts"),
+        ("hashtag", "window_start", "window_end", "event_count"),
+        "hashtag string, window_start timestamp_ntz, window_end timestamp_ntz, event_count bigint",
     )
