@@ -36,9 +36,17 @@ def utc_timestamp(text: Column, session_tz: str = "UTC") -> Column:
     return F.convert_timezone(F.lit(session_tz), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
+# Source columns kept next to the raw value for tracing rejects (Kafka record
+# coordinates); any that the source has are carried through with `keep_value`.
+TRACE_COLUMNS: tuple[str, ...] = ("topic", "partition", "offset")
+
+
 def parse_messages(messages: DataFrame, value_col: str = "value", keep_value: bool = False) -> DataFrame:
     """`value` → 14 flat string columns (+ `_corrupt_record`).
 
+    With `keep_value` the raw text is kept as `value`, together with the Kafka
+    record coordinates (`topic`, `partition`, `offset`) when the source has them.
+
     Map-only (no shuffle). `timestamp` is renamed to `event_timestamp`; values
     stay text so that the validation rules see exactly what the producer sent.
 
@@ -50,7 +58,9 @@ def parse_messages(messages: DataFrame, value_col: str = "value", keep_value: bo
     message is parsed exactly once per row. Works the same on streams.
     """
     text = decode_value(F.col(value_col))
+    trace = [c for c in TRACE_COLUMNS if keep_value and c in messages.columns]
     parsed = messages.select(
+        *trace,
         *([text.alias(value_col)] if keep_value else []),
         F.explode(F.array(event_struct(text))).alias("event"),
     )
@@ -64,4 +74,4 @@ def parse_messages(messages: DataFrame, value_col: str = "value", keep_value: bo
         .otherwise(F.col(f"event.{CORRUPT_COLUMN}"))
         .alias(CORRUPT_COLUMN)
     )
-    return parsed.select(*([F.col(value_col)] if keep_value else []), *cols, corrupt)
+    return parsed.select(*trace, *([F.col(value_col)] if keep_value else []), *cols, corrupt)

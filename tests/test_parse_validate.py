@@ -172,3 +172,15 @@ def test_named_rules_equal_required_field_table_on_driver_feed(spark):
     rules = validation_rules()
     assert parsed.where(is_valid(rules) != expected).count() == 0
     assert parsed.where(expected).count() > 900
+
+
+def test_rejects_keep_kafka_coordinates(spark):
+    import json as _json
+
+    msgs = spark.createDataFrame(
+        [("social_media_events", 3, 1001, bytearray(_json.dumps(event(user_id=None)).encode()))],
+        "topic string, partition int, offset long, value binary",
+    )
+    rej = rejected_events(parse_messages(msgs, keep_value=True)).collect()
+    assert (rej[0].topic, rej[0].partition, rej[0].offset) == ("social_media_events", 3, 1001)
+    assert rej[0].failed_rules == "user_id_present"
