@@ -28,34 +28,67 @@ def first_per_key(df: DataFrame, key: str, order: tuple[str, ...], values: tuple
     )
 
 
-def user_dim(bronze: DataFrame) -> DataFrame:
-    """USER_DIM(user_id, username, country, created_at): the attributes of each
-    user's earliest event."""
+# First-seen rows keep the key of their ordering, so a later batch of events can
+# be merged without rereading old events: the first row of (old ∪ new) is the
+# first of (old first row, new first row).
+ORDER_COLUMNS = ("first_seen_at", "first_event_id")
+USER_DIM_COLUMNS = ("user_id", "username", "country", "created_at")
+POST_DIM_COLUMNS = ("post_id", "user_id", "hashtag", "created_at")
+
+
+def user_first_seen(bronze: DataFrame) -> DataFrame:
+    """USER_DIM columns plus `first_seen_at`, `first_event_id` of the row."""
     first = first_per_key(
         bronze,
         "user_id",
         ("event_timestamp", "event_id"),
-        ("username", "country", "user_created_at"),
+        ("username", "country", "user_created_at", "event_timestamp", "event_id"),
+    )
+    return first.select(
+        "user_id",
+        "username",
+        "country",
+        F.col("user_created_at").alias("created_at"),
+        F.col("event_timestamp").alias("first_seen_at"),
+        F.col("event_id").alias("first_event_id"),
     )
-    return first.select("user_id", "username", "country", F.col("user_created_at").alias("created_at"))
 
 
-def post_dim(bronze: DataFrame) -> DataFrame:
-    """POST_DIM(post_id, user_id, hashtag, created_at) from each post's earliest event."""
+def post_first_seen(bronze: DataFrame) -> DataFrame:
+    """POST_DIM columns plus `first_seen_at`, `first_event_id` of the row."""
     first = first_per_key(
         bronze,
         "post_id",
         ("event_timestamp", "event_id"),
-        ("post_creator_user_id", "hashtag", "post_created_at"),
+        ("post_creator_user_id", "hashtag", "post_created_at", "event_timestamp", "event_id"),
     )
     return first.select(
         "post_id",
         F.col("post_creator_user_id").alias("user_id"),
         "hashtag",
         F.col("post_created_at").alias("created_at"),
+        F.col("event_timestamp").alias("first_seen_at"),
+        F.col("event_id").alias("first_event_id"),
     )
 
 
+def merge_first_seen(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """First-seen rows of old ∪ new events, from the two first-seen tables."""
+    values = tuple(c for c in old.columns if c != key)
+    return first_per_key(old.unionByName(new), key, ORDER_COLUMNS, values)
+
+
+def user_dim(bronze: DataFrame) -> DataFrame:
+    """USER_DIM(user_id, username, country, created_at): the attributes of each
+    user's earliest event."""
+    return user_first_seen(bronze).select(*USER_DIM_COLUMNS)
+
+
+def post_dim(bronze: DataFrame) -> DataFrame:
+    """POST_DIM(post_id, user_id, hashtag, created_at) from each post's earliest event."""
+    return post_first_seen(bronze).select(*POST_DIM_COLUMNS)
+
+
 def curated_events(
     bronze: DataFrame,
     users: DataFrame,

@@ -145,19 +145,22 @@ class Lakehouse:
 
     # -------------------------------------------------------------- silver
     def build_silver(self) -> None:
-        self._invalidate("silver")
+        """Full build of the dimensions and curated from all of bronze."""
+        self._invalidate("silver", "bronze")
+        # Progress is taken before bronze is read: a batch committed in between
+        # is then read again by the next update (harmless), never skipped.
+        progress = self._batch_ids()
         bronze = self.bronze()
-        S.user_dim(bronze).write.mode("overwrite").parquet(self.path("silver", "user_dim"))
-        S.post_dim(bronze).write.mode("overwrite").parquet(self.path("silver", "post_dim"))
+        S.user_first_seen(bronze).write.mode("overwrite").parquet(self.path("silver", "user_dim"))
+        S.post_first_seen(bronze).write.mode("overwrite").parquet(self.path("silver", "post_dim"))
         curated = S.curated_events(self.bronze(), self.users(), self.posts())
-        # Bounds of the table, gathered by the write job itself (no extra pass).
         bounds = Observation("curated_bounds")
-        curated = curated.observe(
-            bounds,
-            F.max("event_timestamp").alias("max_event_timestamp"),
-            F.min("event_timestamp").alias("min_event_timestamp"),
-            F.count(F.lit(1)).alias("row_count"),
-        )
+        self._write_curated(curated.observe(bounds, *_bounds_exprs()), dynamic=False)
+        b = bounds.get
+        self._write_bounds(b.get("max_event_timestamp"), b.get("min_event_timestamp"), int(b.get("row_count") or 0))
+        self._write_progress(progress)
+
+    def _write_curated(self, curated: DataFrame, dynamic: bool) -> None:
         # REBALANCE by the partition column: AQE splits a hot date into
         # advisory-size tasks and merges small ones, so the partitioned write gets
         # balanced tasks and few files per date folder, with no sampling pass
@@ -166,24 +169,129 @@ class Lakehouse:
             curated.withColumn(EVENT_DATE, F.to_date("event_timestamp"))
             .hint("rebalance", EVENT_DATE)
             .write.mode("overwrite")
-            # Static overwrite: a rebuild replaces the whole table, so no stale
-            # date folder survives (and the job commit leaves `_SUCCESS`).
-            .option("partitionOverwriteMode", "static")
+            # static: a full rebuild replaces the whole table (no stale date
+            # folder survives); dynamic: an update replaces only the dates it writes.
+            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
             .partitionBy(EVENT_DATE)
             .parquet(self.path("silver", "curated"))
         )
+
+    def _write_bounds(self, max_ts, min_ts, rows: int) -> None:
         # One-row manifest next to the table (metadata, not data).
-        b = bounds.get
         self.spark.createDataFrame(
-            [(b.get("max_event_timestamp"), b.get("min_event_timestamp"), int(b.get("row_count") or 0))],
+            [(max_ts, min_ts, rows)],
             "max_event_timestamp timestamp_ntz, min_event_timestamp timestamp_ntz, row_count bigint",
         ).coalesce(1).write.mode("overwrite").parquet(self.path("silver", "curated_bounds"))
 
+    # ------------------------------------------------------ incremental silver
+    def _batch_ids(self) -> dict[str, int]:
+        """Highest committed micro-batch id per stream query in bronze (empty
+        for a batch-written bronze). Paths only, listed on the driver."""
+        from ripplecast.streaming.ingest import committed_batches
+
+        out: dict[str, int] = {}
+        for path in committed_batches(self.spark, self.path("bronze")):
+            qid, bid = _batch_of(path)
+            out[qid] = max(out.get(qid, -1), bid)
+        return out
+
+    def _write_progress(self, progress: dict[str, int]) -> None:
+        self.spark.createDataFrame(
+            sorted(progress.items()) or [("", -1)], "query_id string, max_batch_id bigint"
+        ).coalesce(1).write.mode("overwrite").parquet(self.path("silver", "_bronze_progress"))
+
+    def _read_progress(self) -> dict[str, int] | None:
+        path = self.path("silver", "_bronze_progress")
+        if not is_complete(self.spark, path):
+            return None
+        rows = self.spark.read.parquet(path).collect()  # one row per stream query
+        return {r.query_id: int(r.max_batch_id) for r in rows if r.query_id}
+
+    def update_silver(self) -> bool:
+        """Fold the bronze micro-batches committed since the last silver build
+        into silver: the same tables a full rebuild gives, but it reads only the
+        new batches, the dimensions and the curated dates that change.
+
+        * dimensions: first-seen rows of (old ∪ new) from the stored first rows
+          and the new batches' first rows (dimensions are small next to events);
+        * curated: dates that receive new events, and dates holding events whose
+          actor / target / post dimension row changed (new, or seen earlier by a
+          late event), are recomputed from their own base columns plus the new
+          events and replaced by a dynamic partition overwrite; other dates stay.
+
+        Write order: staged curated dates → curated → dimensions → progress.
+        Every write replaces recomputed content and duplicates are removed by
+        `event_id`, so a failed update can simply be run again. Returns False
+        when there is nothing new; without a progress manifest it does a full build.
+        """
+        from ripplecast.plans.lineage import cut_lineage
+        from ripplecast.streaming.ingest import committed_batches
+
+        progress = self._read_progress()
+        if progress is None or not is_complete(self.spark, self.path("silver", "curated")):
+            self.build_silver()
+            return True
+        new_paths, seen = [], dict(progress)
+        for path in committed_batches(self.spark, self.path("bronze")):
+            qid, bid = _batch_of(path)
+            if bid > progress.get(qid, -1):
+                new_paths.append(path)
+                seen[qid] = max(seen.get(qid, -1), bid)
+        if not new_paths:
+            return False
+        new = self.spark.read.option("basePath", self.path("bronze")).parquet(*new_paths).select(*BRONZE_COLUMNS)
+
+        old_users = self._read("parquet", "silver", "user_dim")
+        old_posts = self._read("parquet", "silver", "post_dim")
+        users = cut_lineage(S.merge_first_seen(old_users, S.user_first_seen(new), "user_id"))
+        posts = cut_lineage(S.merge_first_seen(old_posts, S.post_first_seen(new), "post_id"))
+        # Rows that are new or differ (set difference: NULLs compare equal).
+        changed_users = users.exceptAll(old_users).select("user_id")
+        changed_posts = posts.exceptAll(old_posts).select("post_id")
+
+        cur = self.curated_partitioned()
+        base = ("event_id", "event_type", "user_id", "target_user_id", "post_id", "comment_text", "event_timestamp")
+        as_target = changed_users.withColumnRenamed("user_id", "target_user_id")
+        touched = (
+            cur.join(changed_users, "user_id", "left_semi").select(EVENT_DATE)
+            .unionByName(cur.join(as_target, "target_user_id", "left_semi").select(EVENT_DATE))
+            .unionByName(cur.join(changed_posts, "post_id", "left_semi").select(EVENT_DATE))
+            .unionByName(new.select(F.to_date("event_timestamp").alias(EVENT_DATE)))
+            .distinct()
+        )
+        replaced = Observation("replaced_rows")
+        old_rows = cur.join(touched, EVENT_DATE, "left_semi").select(*base).observe(
+            replaced, F.count(F.lit(1)).alias("n")
+        )
+        events = old_rows.unionByName(new.select(*base)).dropDuplicates(["event_id"])
+        recomputed = S.curated_events(
+            events, users.select(*S.USER_DIM_COLUMNS), posts.select(*S.POST_DIM_COLUMNS)
+        )
+        written = Observation("recomputed_bounds")
+        # Lineage cut through a written table: the dates are read from curated
+        # and then overwrite curated.
+        staged = self.path("silver", "_staging", "curated")
+        recomputed.observe(written, *_bounds_exprs()).write.mode("overwrite").parquet(staged)
+        self._write_curated(self.spark.read.parquet(staged), dynamic=True)
+        users.write.mode("overwrite").parquet(self.path("silver", "user_dim"))
+        posts.write.mode("overwrite").parquet(self.path("silver", "post_dim"))
+
+        prev = self._read("parquet", "silver", "curated_bounds").collect()[0]  # the one-row manifest
+        b = written.get
+        self._write_bounds(
+            _extreme(max, prev.max_event_timestamp, b.get("max_event_timestamp")),
+            _extreme(min, prev.min_event_timestamp, b.get("min_event_timestamp")),
+            int(prev.row_count) - int(replaced.get.get("n") or 0) + int(b.get("row_count") or 0),
+        )
+        self._write_progress(seen)
+        self._invalidate("silver")
+        return True
+
     def users(self) -> DataFrame:
-        return self._read("parquet", "silver", "user_dim")
+        return self._read("parquet", "silver", "user_dim").select(*S.USER_DIM_COLUMNS)
 
     def posts(self) -> DataFrame:
-        return self._read("parquet", "silver", "post_dim")
+        return self._read("parquet", "silver", "post_dim").select(*S.POST_DIM_COLUMNS)
 
     def curated_partitioned(self) -> DataFrame:
         """Curated with its `event_date` partition column (enables pruning)."""
@@ -256,6 +364,25 @@ class Lakehouse:
         return self
 
 
+def _batch_of(path: str) -> tuple[str, int]:
+    """(query id, batch id) of a `…/query_id=<q>/batch_id=<n>` folder."""
+    parts = path.rstrip("/").split("/")
+    return parts[-2].split("=", 1)[1], int(parts[-1].split("=", 1)[1])
+
+
+def _extreme(pick, a, b):
+    vals = [x for x in (a, b) if x is not None]
+    return pick(vals) if vals else None
+
+
+def _bounds_exprs() -> list[Column]:
+    return [
+        F.max("event_timestamp").alias("max_event_timestamp"),
+        F.min("event_timestamp").alias("min_event_timestamp"),
+        F.count(F.lit(1)).alias("row_count"),
+    ]
+
+
 # Catalog names of the layers (database, table) → folder parts.
 CATALOG_TABLES: dict[tuple[str, str], tuple[str, ...]] = {
     ("bronze", "raw_events"): ("bronze",),
@@ -270,6 +397,14 @@ CATALOG_TABLES: dict[tuple[str, str], tuple[str, ...]] = {
 }
 
 
+# Declared schemas where the folder holds more (the dimensions keep the
+# ordering key of their first-seen row for incremental updates).
+CATALOG_SCHEMAS: dict[tuple[str, str], str] = {
+    ("silver", "user_dim"): "user_id STRING, username STRING, country STRING, created_at TIMESTAMP_NTZ",
+    ("silver", "post_dim"): "post_id STRING, user_id STRING, hashtag STRING, created_at TIMESTAMP_NTZ",
+}
+
+
 def register_catalog(lake: Lakehouse, prefix: str = "") -> list[str]:
     """Expose the written layers as catalog tables `<prefix>bronze.raw_events`,
     `<prefix>silver.curated_events`, `<prefix>gold.viral_posts`, … (external
@@ -284,7 +419,9 @@ def register_catalog(lake: Lakehouse, prefix: str = "") -> list[str]:
         database = f"{prefix}{db}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         location = lake.path(*parts).replace("'", "\\'")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} USING parquet LOCATION '{location}'")
+        ddl = CATALOG_SCHEMAS.get((db, table))
+        columns = f"({ddl}) " if ddl else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} {columns}USING parquet LOCATION '{location}'")
         if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{table}")):
             # Partitioned folders (event_date=, query_id=/batch_id=) are tracked
             # in the catalog: register new folders and drop vanished ones.
