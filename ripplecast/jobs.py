@@ -3,6 +3,7 @@
     python -m ripplecast.jobs ingest  --root <lake> --files <landing dir> [--available-now]
     python -m ripplecast.jobs ingest  --root <lake> --kafka host:9092 --topic social_media_events
     python -m ripplecast.jobs build   --root <lake>
+    python -m ripplecast.jobs update  --root <lake>      (fold new micro-batches into silver, rebuild gold)
     python -m ripplecast.jobs report  --root <lake>
 
 `--root` is a folder on shared storage. The ingest job runs two streaming
@@ -52,6 +53,16 @@ def build_batch(lake: Lakehouse) -> None:
     register_catalog(lake)
 
 
+def update_batch(lake: Lakehouse) -> bool:
+    """Fold the bronze micro-batches committed since the last build into
+    SILVER (only touched dates are rewritten), then rebuild GOLD."""
+    changed = lake.update_silver()
+    if changed:
+        lake.build_gold()
+    register_catalog(lake)
+    return changed
+
+
 def _session(app: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     for k, v in RECOMMENDED_CONF.items():
@@ -72,11 +83,12 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("--dedup", choices=["exact", "watermark"], default="exact")
     ing.add_argument("--watermark-delay", default="1 hour")
     ing.add_argument("--available-now", action="store_true")
-    bld = sub.add_parser("build")
-    bld.add_argument("--root", required=True)
-    bld.add_argument("--windows", default="1,5,15")
-    bld.add_argument("--viral-minutes", type=int, default=5)
-    bld.add_argument("--viral-threshold", type=int, default=500)
+    for name in ("build", "update"):
+        bld = sub.add_parser(name)
+        bld.add_argument("--root", required=True)
+        bld.add_argument("--windows", default="1,5,15")
+        bld.add_argument("--viral-minutes", type=int, default=5)
+        bld.add_argument("--viral-threshold", type=int, default=500)
     rep = sub.add_parser("report")
     rep.add_argument("--root", required=True)
     args = ap.parse_args(argv)
@@ -96,13 +108,14 @@ def main(argv: list[str] | None = None) -> int:
         else:
             spark.streams.awaitAnyTermination()
         return 0
-    if args.cmd == "build":
+    if args.cmd in ("build", "update"):
         params = GoldParams(
             trending_windows_minutes=tuple(int(x) for x in args.windows.split(",")),
             viral_window_minutes=args.viral_minutes,
             viral_threshold=args.viral_threshold,
         )
-        build_batch(Lakehouse(spark, args.root, params))
+        lake = Lakehouse(spark, args.root, params)
+        build_batch(lake) if args.cmd == "build" else update_batch(lake)
         return 0
     if args.cmd == "report":
         lake = Lakehouse(spark, args.root)

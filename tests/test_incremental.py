@@ -83,3 +83,17 @@ def test_update_silver_equals_full_rebuild(spark, scratch):
     lake.build_silver()  # full rebuild from all of bronze
     assert _snapshot(lake) == incremental
     assert len(incremental[2]) == 8  # a1 arrived twice
+
+
+def test_cli_update_without_new_batches_is_a_no_op(spark, scratch):
+    from ripplecast.jobs import update_batch
+
+    lake = Lakehouse(spark, os.path.join(scratch, "lake"))
+    land = os.path.join(scratch, "landing")
+    os.makedirs(land)
+    _write(os.path.join(land, "1.json"), [_like("a1", "u1", "one", "2026-01-01T10:00:00+00:00")])
+    q = start_ingest(file_messages(spark, land), lake.path("bronze"), lake.path("_ck"), trigger={"availableNow": True})
+    q.awaitTermination()
+    assert update_batch(lake) is True  # no silver yet: full build
+    assert update_batch(lake) is False
+    assert lake.gold("comment_sentiment").count() == 0 and lake.curated().count() == 1
