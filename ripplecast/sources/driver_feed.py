@@ -118,19 +118,28 @@ def social_rows(events: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
-def social_messages(events: DataFrame, nation: DataFrame) -> DataFrame:
-    """One row per message on the topic: column `value` (JSON text)."""
+# A redelivered copy arrives this many messages after the original.
+REDELIVERY_LAG = 37
+
+
+def social_messages(events: DataFrame, nation: DataFrame, segments: int | None = None) -> DataFrame:
+    """One row per message on the topic: column `value` (JSON text).
+
+    With `segments`, the topic is laid out as that many log segments in
+    arrival order (range partitions of the arrival position); a redelivered
+    copy arrives `REDELIVERY_LAG` messages after its original, so some copies
+    fall into a later segment (and a later micro-batch)."""
     rows = social_rows(events, nation)
     fields = [c for c in rows.columns if c != "seq"]
     payload = F.to_json(F.struct(*[F.col(c) for c in fields]))
     s = F.col("seq")
     value = F.when(s % 50 == 7, F.expr("substring(_json, 1, length(_json) - 1)")).otherwise(F.col("_json"))
     copies = F.explode(F.when(s % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    return (
-        rows.select(s, payload.alias("_json"))
-        .select(s, value.alias("value"), copies.alias("copy"))
-        .select("value")
-    )
+    msgs = rows.select(s, payload.alias("_json")).select(s, value.alias("value"), copies.alias("copy"))
+    if segments:
+        arrival = F.col("seq") + F.col("copy") * F.lit(REDELIVERY_LAG)
+        msgs = msgs.repartitionByRange(segments, arrival, F.col("copy"))
+    return msgs.select("value")
 
 
 def read_driver_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -139,6 +148,6 @@ def read_driver_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     return events, nation
 
 
-def driver_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def driver_messages(spark: SparkSession, sf_dir: str, segments: int | None = None) -> DataFrame:
     events, nation = read_driver_tables(spark, sf_dir)
-    return social_messages(events, nation)
+    return social_messages(events, nation, segments)
