@@ -409,8 +409,8 @@ def register_catalog(lake: Lakehouse, prefix: str = "") -> list[str]:
     """Expose the written layers as catalog tables `<prefix>bronze.raw_events`,
     `<prefix>silver.curated_events`, `<prefix>gold.viral_posts`, … (external
     Parquet tables over the layer folders), so SQL users can query them with
-    `spark.sql`. Idempotent; only metadata is touched. Call again after new
-    micro-batches land to register their folders."""
+    `spark.sql`. Idempotent; only metadata is touched (the tables are
+    external). Call again after new micro-batches land to register their folders."""
     spark = lake.spark
     made = []
     for (db, table), parts in CATALOG_TABLES.items():
@@ -421,7 +421,10 @@ def register_catalog(lake: Lakehouse, prefix: str = "") -> list[str]:
         location = lake.path(*parts).replace("'", "\\'")
         ddl = CATALOG_SCHEMAS.get((db, table))
         columns = f"({ddl}) " if ddl else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} {columns}USING parquet LOCATION '{location}'")
+        # External tables: dropping one removes only catalog metadata, so the
+        # catalog is re-pointed at this lake even if another lake was registered.
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
+        spark.sql(f"CREATE TABLE {database}.{table} {columns}USING parquet LOCATION '{location}'")
         if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{table}")):
             # Partitioned folders (event_date=, query_id=/batch_id=) are tracked
             # in the catalog: register new folders and drop vanished ones.
