@@ -156,3 +156,20 @@ def test_viral_any_window_burst_in_one_bucket_matches_brute_force(spark):
     got = {r.post_id: (r.like_count, r.window_end) for r in out}
     assert got == _brute_any_window(likes, 5, 9)
     assert got["burst"][0] == 300
+
+
+def test_every_operator_handles_empty_input(spark):
+    from ripplecast.operators import quality as Q
+
+    cur = curated_df(spark, [])
+    users = spark.createDataFrame([], "user_id string, username string, country string, created_at timestamp_ntz")
+    posts = spark.createDataFrame([], "post_id string, user_id string, hashtag string, created_at timestamp_ntz")
+    assert G.trending_hashtags(cur).count() == 0
+    assert G.viral_posts(cur).count() == 0
+    assert G.influencer_ranking(cur, users).count() == 0
+    assert G.comment_sentiment(cur).count() == 0
+    assert G.hashtag_trend_over_time(cur).count() == 0
+    assert G.viral_posts_any_window(cur).count() == 0
+    assert Q.duplicate_events(cur).count() == 0
+    assert Q.missing_fields(cur).collect()[0].null_event_id == 0
+    assert {r.check: r.violations for r in Q.quality_report(cur, users, posts).collect()}["orphan_users"] == 0
