@@ -243,11 +243,18 @@ class Lakehouse:
 
         old_users = self._read("parquet", "silver", "user_dim")
         old_posts = self._read("parquet", "silver", "post_dim")
-        users = cut_lineage(S.merge_first_seen(old_users, S.user_first_seen(new), "user_id"))
-        posts = cut_lineage(S.merge_first_seen(old_posts, S.post_first_seen(new), "post_id"))
-        # Rows that are new or differ (set difference: NULLs compare equal).
-        changed_users = users.exceptAll(old_users).select("user_id")
-        changed_posts = posts.exceptAll(old_posts).select("post_id")
+        new_users, new_posts = S.user_first_seen(new), S.post_first_seen(new)
+        users = cut_lineage(S.merge_first_seen(old_users, new_users, "user_id"))
+        posts = cut_lineage(S.merge_first_seen(old_posts, new_posts, "post_id"))
+
+        def changed(merged: DataFrame, old: DataFrame, firsts: DataFrame, key: str) -> DataFrame:
+            # Only keys seen in the new batches can change: compare just those
+            # rows (set difference, so NULLs compare equal).
+            keys = firsts.select(key)
+            return merged.join(keys, key, "left_semi").exceptAll(old.join(keys, key, "left_semi")).select(key)
+
+        changed_users = changed(users, old_users, new_users, "user_id")
+        changed_posts = changed(posts, old_posts, new_posts, "post_id")
 
         cur = self.curated_partitioned()
         base = ("event_id", "event_type", "user_id", "target_user_id", "post_id", "comment_text", "event_timestamp")
