@@ -10,6 +10,7 @@ are set so that the results are selective at the test scales.
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,21 @@ TREND_BUCKET_MINUTES = DAY
 _LAKES: dict[tuple[str, str], Lakehouse] = {}
 
 
+MESSAGES_PER_SEGMENT = 500_000
+STREAM_DEMO_BATCHES = 8
+
+
+def landing_segments(spark: SparkSession, sf_dir: str) -> int:
+    """Number of landing files: at least 8, about 500k messages each."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").count()  # footer metadata
+    return max(8, math.ceil(events / MESSAGES_PER_SEGMENT))
+
+
+def files_per_trigger(spark: SparkSession, folder: str) -> int:
+    """Files per micro-batch so that replaying `folder` takes ~8 micro-batches."""
+    return max(1, math.ceil(len(_data_files(spark, folder)) / STREAM_DEMO_BATCHES))
+
+
 def driver_lake(spark: SparkSession, sf_dir: str, upto: str = "gold") -> Lakehouse:
     """The (memoised) lakehouse for one driver data folder, built up to `upto`."""
     sf_dir = os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir
@@ -46,9 +62,9 @@ def driver_lake(spark: SparkSession, sf_dir: str, upto: str = "gold") -> Lakehou
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
         lake = Lakehouse(spark, f"{work_dir(spark)}/ripplecast-lake/{tag}", DRIVER_GOLD)
         _LAKES[key] = lake
-    # The topic as log segments (one file each), so streams see several micro-batches.
-    segments = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lake.ensure_landing(lambda: driver_messages(spark, sf_dir, segments))
+    # The topic as log segments (one file each, ~500k messages), so streams
+    # see several micro-batches and scans of the landing stay parallel.
+    lake.ensure_landing(lambda: driver_messages(spark, sf_dir, landing_segments(spark, sf_dir)))
     if upto != "landing":
         lake.ensure(upto)
     return lake
@@ -70,6 +86,8 @@ def stream_bronze(
     from ripplecast.streaming.ingest import file_messages, read_batches, start_ingest
 
     lake = driver_lake(spark, sf_dir, "landing")
+    if max_files_per_trigger == -1:
+        max_files_per_trigger = files_per_trigger(spark, lake.path("landing"))
     tag = f"{dedup}-{max_files_per_trigger or 'all'}"
     root = lake.path("stream", tag)
     query = start_ingest(
@@ -179,7 +197,7 @@ def curated_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def ingest() -> None:
         q = start_ingest(
-            file_messages(spark, lake.path("live", "*"), 1),
+            file_messages(spark, lake.path("live", "*"), files_per_trigger(spark, base.path("landing"))),
             lake.path("bronze"),
             lake.path("_checkpoint"),
             trigger={"availableNow": True},
