@@ -24,6 +24,8 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Checkpoint a changelog per micro-batch instead of uploading snapshots.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
