@@ -259,10 +259,18 @@ class Lakehouse:
         cur = self.curated_partitioned()
         base = ("event_id", "event_type", "user_id", "target_user_id", "post_id", "comment_text", "event_timestamp")
         as_target = changed_users.withColumnRenamed("user_id", "target_user_id")
+
+        def dates_of(key: str, keys: DataFrame) -> DataFrame:
+            # Distinct (key, date) pairs first: partial aggregation collapses a
+            # hot key (a user with a third of all events) to one row per date
+            # before any join sees it.
+            pairs = cur.where(F.col(key).isNotNull()).select(key, EVENT_DATE).distinct()
+            return pairs.join(keys, key, "left_semi").select(EVENT_DATE)
+
         touched = (
-            cur.join(changed_users, "user_id", "left_semi").select(EVENT_DATE)
-            .unionByName(cur.join(as_target, "target_user_id", "left_semi").select(EVENT_DATE))
-            .unionByName(cur.join(changed_posts, "post_id", "left_semi").select(EVENT_DATE))
+            dates_of("user_id", changed_users)
+            .unionByName(dates_of("target_user_id", as_target))
+            .unionByName(dates_of("post_id", changed_posts))
             .unionByName(new.select(F.to_date("event_timestamp").alias(EVENT_DATE)))
             .distinct()
         )
