@@ -275,7 +275,10 @@ class Lakehouse:
             .distinct()
         )
         replaced = Observation("replaced_rows")
-        old_rows = cur.join(touched, EVENT_DATE, "left_semi").select(*base).observe(
+        # `touched` holds at most one row per date folder of curated (a proven
+        # bound), so it is broadcast: no shuffle of curated by date, where a hot
+        # day would land in one task.
+        old_rows = cur.join(F.broadcast(touched), EVENT_DATE, "left_semi").select(*base).observe(
             replaced, F.count(F.lit(1)).alias("n")
         )
         events = old_rows.unionByName(new.select(*base)).dropDuplicates(["event_id"])
