@@ -83,6 +83,8 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("--dedup", choices=["exact", "watermark"], default="exact")
     ing.add_argument("--watermark-delay", default="1 hour")
     ing.add_argument("--available-now", action="store_true")
+    ing.add_argument("--max-files-per-trigger", type=int, default=None, help="rate limit of the file source")
+    ing.add_argument("--max-offsets-per-trigger", type=int, default=None, help="rate limit of the Kafka source")
     for name in ("build", "update"):
         bld = sub.add_parser(name)
         bld.add_argument("--root", required=True)
@@ -97,9 +99,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "ingest":
         lake = Lakehouse(spark, args.root)
         if args.files:
-            messages = file_messages(spark, args.files)
+            messages = file_messages(spark, args.files, args.max_files_per_trigger)
         else:
-            messages = kafka_messages(spark, args.kafka, args.topic, startingOffsets=args.starting_offsets)
+            extra = {"maxOffsetsPerTrigger": str(args.max_offsets_per_trigger)} if args.max_offsets_per_trigger else {}
+            messages = kafka_messages(spark, args.kafka, args.topic, startingOffsets=args.starting_offsets, **extra)
         trigger = {"availableNow": True} if args.available_now else None
         queries = start_streams(lake, messages, args.dedup, args.watermark_delay, trigger)
         if args.available_now:
