@@ -197,7 +197,7 @@ def curated_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def ingest() -> None:
         q = start_ingest(
-            file_messages(spark, lake.path("live", "*"), files_per_trigger(spark, base.path("landing"))),
+            file_messages(spark, lake.path("live", "*")),  # each arrival: one micro-batch
             lake.path("bronze"),
             lake.path("_checkpoint"),
             trigger={"availableNow": True},
