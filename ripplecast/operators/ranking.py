@@ -16,6 +16,27 @@ from pyspark.sql import functions as F
 from ripplecast.plans.lineage import cut_lineage
 
 
+def range_partitions(df: DataFrame, num_partitions: int | None = None) -> int:
+    """Number of range partitions: given, else about one per advisory partition
+    size (`spark.sql.adaptive.advisoryPartitionSizeInBytes`) of Catalyst's size
+    estimate, at most `spark.sql.shuffle.partitions` (also the fallback when the
+    estimate is unknown)."""
+    if num_partitions:
+        return int(num_partitions)
+    from ripplecast.operators.joins import estimated_size_bytes
+
+    spark = df.sparkSession
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    advisory = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB") or "64MB"
+    )
+    try:
+        size = estimated_size_bytes(df)
+    except Exception:  # noqa: BLE001 - no statistics: use the cap
+        return cap
+    return max(1, min(cap, -(-size // max(1, int(advisory)))))
+
+
 def global_row_number(
     df: DataFrame,
     order: list[Column],
@@ -27,8 +48,7 @@ def global_row_number(
     `order` must be a total order (end it with a unique column), otherwise
     ties are numbered in an arbitrary but valid way.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(df, num_partitions)
     # Range partition + sort inside each partition: partition ids follow the order.
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # monotonically_increasing_id = (partition id << 33) + position in the
@@ -69,8 +89,7 @@ def global_running_sum(
     balanced task), and offsets from one row per partition (bounded, broadcast)
     shift the partitions. No key or time bucket is ever gathered into one task.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(df, num_partitions)
     ranged = df.select("*", value.alias("__v")).repartitionByRange(n, *order)
     frozen = cut_lineage(ranged.select("*", F.spark_partition_id().alias("__pid")))
     w = Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
