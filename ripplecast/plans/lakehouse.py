@@ -412,6 +412,7 @@ CATALOG_TABLES: dict[tuple[str, str], tuple[str, ...]] = {
     ("gold", "viral_posts"): ("gold", "viral_posts"),
     ("gold", "influencer_ranking"): ("gold", "influencer_ranking"),
     ("gold", "comment_sentiment"): ("gold", "comment_sentiment"),
+    ("gold", "quality_report"): ("gold", "quality_report"),
 }
 
 
