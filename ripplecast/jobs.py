@@ -3,7 +3,7 @@
     python -m ripplecast.jobs ingest  --root <lake> --files <landing dir> [--available-now]
     python -m ripplecast.jobs ingest  --root <lake> --kafka host:9092 --topic social_media_events
     python -m ripplecast.jobs build   --root <lake>
-    python -m ripplecast.jobs update  --root <lake>      (fold new micro-batches into silver, rebuild gold)
+    python -m ripplecast.jobs update  --root <lake>      (fold new micro-batches into silver and gold)
     python -m ripplecast.jobs report  --root <lake>
 
 `--root` is a folder on shared storage. The ingest job runs two streaming
@@ -55,10 +55,10 @@ def build_batch(lake: Lakehouse) -> None:
 
 def update_batch(lake: Lakehouse) -> bool:
     """Fold the bronze micro-batches committed since the last build into
-    SILVER (only touched dates are rewritten), then rebuild GOLD."""
+    SILVER, then GOLD; both rewrite only the dates the new events touch."""
     changed = lake.update_silver()
     if changed:
-        lake.build_gold()
+        lake.update_gold()
     register_catalog(lake)
     return changed
 

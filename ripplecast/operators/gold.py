@@ -159,24 +159,27 @@ def viral_posts(
 # --------------------------------------------------------------------------
 # Influencer ranking
 # --------------------------------------------------------------------------
-def influencer_ranking(
-    curated: DataFrame,
-    users: DataFrame,
-    weights: dict[str, int] = ENGAGEMENT_WEIGHTS,
-    run_ts=None,
-    session_tz: str = "UTC",
-) -> DataFrame:
-    """Creators ranked by weighted engagement received on their posts
-    (like·1 + comment·2 + share·3 by default), rank by score desc, user_id asc.
-    Self-engagement counts. The global rank is computed distributed."""
+def engagement_counts(curated: DataFrame, by: tuple[str, ...] = (), weights: dict[str, int] = ENGAGEMENT_WEIGHTS) -> DataFrame:
+    """Likes / comments / shares received per post creator (and per `by`
+    columns, e.g. a daily rollup). Partial aggregation before the shuffle."""
     t = F.col("event_type")
     engaged = curated.where(F.col("post_creator_user_id").isNotNull() & t.isin(*weights.keys()))
-    agg = engaged.groupBy(F.col("post_creator_user_id").alias("user_id")).agg(
+    return engaged.groupBy(F.col("post_creator_user_id").alias("user_id"), *by).agg(
         F.count_if(t == "like").alias("like_count"),
         F.count_if(t == "comment").alias("comment_count"),
         F.count_if(t == "share").alias("share_count"),
     )
-    scored = agg.select(
+
+
+def rank_creators(
+    counts: DataFrame,
+    users: DataFrame,
+    weights: dict[str, int] = ENGAGEMENT_WEIGHTS,
+    run_ts=None,
+    session_tz: str = "UTC",
+) -> DataFrame:
+    """INFLUENCER_RANKING from per-creator counts (one row per creator)."""
+    scored = counts.select(
         "user_id",
         "like_count",
         "comment_count",
@@ -199,6 +202,36 @@ def influencer_ranking(
     return ranked.select("*", run_timestamp(run_ts, session_tz).alias("calculated_at")).select(*INFLUENCER_COLUMNS)
 
 
+def influencer_ranking(
+    curated: DataFrame,
+    users: DataFrame,
+    weights: dict[str, int] = ENGAGEMENT_WEIGHTS,
+    run_ts=None,
+    session_tz: str = "UTC",
+) -> DataFrame:
+    """Creators ranked by weighted engagement received on their posts
+    (like·1 + comment·2 + share·3 by default), rank by score desc, user_id asc.
+    Self-engagement counts. The global rank is computed distributed."""
+    return rank_creators(engagement_counts(curated, weights=weights), users, weights, run_ts, session_tz)
+
+
+def influencer_ranking_from_daily(
+    daily: DataFrame,
+    users: DataFrame,
+    weights: dict[str, int] = ENGAGEMENT_WEIGHTS,
+    run_ts=None,
+    session_tz: str = "UTC",
+) -> DataFrame:
+    """The same ranking from a daily rollup (`engagement_counts(curated,
+    by=(event_date,))`): sums per creator over days (creators × days rows)."""
+    totals = daily.groupBy("user_id").agg(
+        F.sum("like_count").alias("like_count"),
+        F.sum("comment_count").alias("comment_count"),
+        F.sum("share_count").alias("share_count"),
+    )
+    return rank_creators(totals, users, weights, run_ts, session_tz)
+
+
 # --------------------------------------------------------------------------
 # Comment sentiment
 # --------------------------------------------------------------------------

@@ -33,6 +33,23 @@ from ripplecast.session import session_time_zone
 EVENT_DATE = "event_date"
 GOLD_TABLES = ("trending_hashtags", "viral_posts", "influencer_ranking", "comment_sentiment")
 
+# Schemas of the date-partitioned layers: a partitioned write of no rows leaves
+# no data file to infer a schema from, so these are read with their schema.
+DATED_SCHEMAS: dict[tuple[str, ...], str] = {
+    ("silver", "curated"): (
+        "event_id string, event_type string, user_id string, username string, country string, "
+        "target_user_id string, target_username string, post_id string, post_creator_user_id string, "
+        "hashtag string, comment_text string, event_timestamp timestamp_ntz, event_date date"
+    ),
+    ("gold", "comment_sentiment"): (
+        "event_id string, post_id string, user_id string, comment_text string, sentiment string, "
+        "event_timestamp timestamp_ntz, calculated_at timestamp_ntz, event_date date"
+    ),
+    ("gold", "_creator_daily"): (
+        "user_id string, like_count bigint, comment_count bigint, share_count bigint, event_date date"
+    ),
+}
+
 
 def _hadoop_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -82,6 +99,8 @@ class Lakehouse:
                     if batches
                     else self.spark.read.parquet(path)
                 )
+            elif parts in DATED_SCHEMAS:
+                df = self.spark.read.schema(DATED_SCHEMAS[parts]).parquet(path)
             else:
                 df = self.spark.read.parquet(path)
             self._reads[key] = df
@@ -347,12 +366,60 @@ class Lakehouse:
         return {n: self.gold_frame(n) for n in GOLD_TABLES}
 
     def build_gold(self) -> None:
+        """All gold tables from curated. Sentiment and the daily creator
+        rollup behind the influencer ranking are partitioned by date, so an
+        update can replace just the dates it touched (`update_gold`)."""
         self._invalidate("gold")
-        for name, df in self.gold_frames().items():
-            df.write.mode("overwrite").parquet(self.path("gold", name))
+        p = self.gold_params
+        cur = self.curated_partitioned()
+        for name in ("trending_hashtags", "viral_posts"):
+            self.gold_frame(name).write.mode("overwrite").parquet(self.path("gold", name))
+        self._write_dated(G.comment_sentiment(cur, p.run_ts, self.tz), "comment_sentiment", dynamic=False)
+        self._write_dated(G.engagement_counts(cur, by=(EVENT_DATE,)), "_creator_daily", dynamic=False)
+        self._write_ranking()
+
+    def _write_dated(self, df: DataFrame, name: str, dynamic: bool) -> None:
+        if EVENT_DATE not in df.columns:
+            df = df.withColumn(EVENT_DATE, F.to_date("event_timestamp"))
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+            .partitionBy(EVENT_DATE)
+            .parquet(self.path("gold", name))
+        )
+
+    def _write_ranking(self) -> None:
+        p = self.gold_params
+        daily = self.spark.read.schema(DATED_SCHEMAS[("gold", "_creator_daily")]).parquet(
+            self.path("gold", "_creator_daily")
+        )
+        ranking = G.influencer_ranking_from_daily(daily, self.users(), run_ts=p.run_ts, session_tz=self.tz)
+        ranking.write.mode("overwrite").parquet(self.path("gold", "influencer_ranking"))
+
+    def update_gold(self) -> None:
+        """Gold after `update_silver`: sentiment and the daily rollup are
+        recomputed only for the dates `update_silver` restaged (their complete new
+        content) and replaced by dynamic partition overwrite; the ranking is
+        re-ranked from the rollup (creators × days rows); the latest-window tables
+        read only the last date folders anyway."""
+        staged_path = self.path("silver", "_staging", "curated")
+        if not is_complete(self.spark, self.path("gold", "_creator_daily")) or not is_complete(
+            self.spark, staged_path
+        ):
+            self.build_gold()
+            return
+        self._invalidate("gold")
+        p = self.gold_params
+        staged = self.spark.read.parquet(staged_path).withColumn(EVENT_DATE, F.to_date("event_timestamp"))
+        for name in ("trending_hashtags", "viral_posts"):
+            self.gold_frame(name).write.mode("overwrite").parquet(self.path("gold", name))
+        self._write_dated(G.comment_sentiment(staged, p.run_ts, self.tz), "comment_sentiment", dynamic=True)
+        self._write_dated(G.engagement_counts(staged, by=(EVENT_DATE,)), "_creator_daily", dynamic=True)
+        self._write_ranking()
 
     def gold(self, name: str) -> DataFrame:
-        return self._read("parquet", "gold", name)
+        df = self._read("parquet", "gold", name)
+        return df.drop(EVENT_DATE) if name == "comment_sentiment" else df
 
     # ---------------------------------------------------------- everything
     def ensure(self, upto: str = "gold") -> "Lakehouse":
@@ -443,7 +510,12 @@ def register_catalog(lake: Lakehouse, prefix: str = "") -> list[str]:
         # External tables: dropping one removes only catalog metadata, so the
         # catalog is re-pointed at this lake even if another lake was registered.
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-        spark.sql(f"CREATE TABLE {database}.{table} {columns}USING parquet LOCATION '{location}'")
+        try:
+            spark.sql(f"CREATE TABLE {database}.{table} {columns}USING parquet LOCATION '{location}'")
+        except Exception as e:  # noqa: BLE001
+            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            continue  # folder holds no data file yet: nothing to expose
         if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{table}")):
             # Partitioned folders (event_date=, query_id=/batch_id=) are tracked
             # in the catalog: register new folders and drop vanished ones.

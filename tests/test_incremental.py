@@ -97,3 +97,53 @@ def test_cli_update_without_new_batches_is_a_no_op(spark, scratch):
     assert update_batch(lake) is True  # no silver yet: full build
     assert update_batch(lake) is False
     assert lake.gold("comment_sentiment").count() == 0 and lake.curated().count() == 1
+
+
+def test_update_gold_equals_full_gold(spark, scratch):
+    from ripplecast.plans.lakehouse import GoldParams
+
+    land = os.path.join(scratch, "landing")
+    os.makedirs(land)
+    params = GoldParams(trending_windows_minutes=(60, 1440, 4320), viral_window_minutes=1440, viral_threshold=1,
+                        run_ts="2026-02-01 00:00:00")
+    lake = Lakehouse(spark, os.path.join(scratch, "lake"), params)
+
+    def ingest():
+        q = start_ingest(file_messages(spark, land), lake.path("bronze"), lake.path("_ck"),
+                         trigger={"availableNow": True})
+        q.awaitTermination()
+        assert q.exception() is None
+
+    def comment(eid, user, text, ts, post="post_1"):
+        return event(event_id=eid, event_type="comment", user_id=user, comment_text=text, post_id=post,
+                     post_creator_user_id="u_creator", hashtag="#a", timestamp=ts)
+
+    _write(os.path.join(land, "1.json"), [
+        _like("a1", "u1", "one", "2026-01-01T10:00:00+00:00"),
+        comment("a2", "u2", "Amazing!", "2026-01-01T11:00:00+00:00"),
+        _like("a3", "u3", "three", "2026-01-02T09:00:00+00:00", post="post_2", creator="u9"),
+    ])
+    ingest()
+    lake.build_silver()
+    lake.build_gold()
+    # a late post_created moves post_2's first-seen row: its creator changes for old likes
+    _write(os.path.join(land, "2.json"), [
+        event(event_id="b0", event_type="post_created", user_id="u7", post_id="post_2", post_creator_user_id="u7",
+              hashtag="#b", timestamp="2025-12-31T08:00:00+00:00"),
+        comment("b1", "u4", "noted.", "2026-01-03T12:00:00+00:00"),
+        _like("b2", "u5", "five", "2026-01-03T13:00:00+00:00", post="post_2", creator="u7"),
+    ])
+    ingest()
+    assert lake.update_silver()
+    lake.update_gold()
+
+    def gold_snapshot():
+        return {n: sorted(map(tuple, lake.gold(n).collect()))
+                for n in ("trending_hashtags", "viral_posts", "influencer_ranking", "comment_sentiment")}
+
+    incremental = gold_snapshot()
+    ranking = {r[0]: r for r in incremental["influencer_ranking"]}
+    assert "u7" in ranking and "u9" not in ranking  # post_2's likes moved to its earlier creator
+    lake.build_silver()
+    lake.build_gold()
+    assert gold_snapshot() == incremental
