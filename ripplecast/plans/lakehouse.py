@@ -26,13 +26,20 @@ from ripplecast.functions.parsing import parse_messages
 from ripplecast.operators import gold as G
 from ripplecast.operators import silver as S
 from ripplecast.operators.dedup import dedup_earliest
-from ripplecast.operators.validate import rejected_events, valid_events
-from ripplecast.schema import BRONZE_COLUMNS
+from ripplecast.functions.rules import failed_rules, is_valid, validation_rules
+from ripplecast.operators.validate import rejected_events, typed_events, valid_events
+from ripplecast.schema import BRONZE_COLUMNS, PARSED_COLUMNS
 from ripplecast.session import session_time_zone
 
 EVENT_DATE = "event_date"
 GOLD_TABLES = ("trending_hashtags", "viral_posts", "influencer_ranking", "comment_sentiment")
 
+STAGE_SCHEMA = (
+    "value string, "
+    + ", ".join(f"{c} string" for c in PARSED_COLUMNS)
+    + ", failed_rules string, status string"
+)
+
 # Schemas of the date-partitioned layers: a partitioned write of no rows leaves
 # no data file to infer a schema from, so these are read with their schema.
 DATED_SCHEMAS: dict[tuple[str, ...], str] = {
@@ -148,11 +155,41 @@ class Lakehouse:
         return rejected_events(self.parsed(keep_value=True))
 
     def build_bronze(self) -> None:
-        """Batch ingest of the landing folder: parse → validate → dedup → write."""
+        """Batch ingest of the landing folder with one JSON parse pass.
+
+        The parsed, judged messages are written once, partitioned by outcome
+        (`_stage/status=valid|rejected`; valid rows without their raw text). The
+        rejects come straight from their partition; bronze is typed and
+        de-duplicated from the valid partition (a columnar read instead of a
+        second parse of the text). The stage is a written table in the shared
+        folder, so it also cuts the lineage and survives executor loss.
+        """
         self._invalidate("bronze", "rejects")
-        bronze = self.deduplicated().withColumn("ingested_at", F.current_timestamp()).select(*BRONZE_COLUMNS)
-        bronze.write.mode("overwrite").parquet(self.path("bronze"))
-        self.rejected().write.mode("overwrite").parquet(self.path("rejects"))
+        rules = validation_rules(check_json=True)
+        parsed = parse_messages(self.landing(), keep_value=True)
+        ok = is_valid(rules)
+        stage = self.path("_stage")
+        (
+            parsed.select(
+                F.when(ok, F.lit(None).cast("string")).otherwise(F.col("value")).alias("value"),
+                *PARSED_COLUMNS,
+                failed_rules(rules).alias("failed_rules"),
+                F.when(ok, F.lit("valid")).otherwise(F.lit("rejected")).alias("status"),
+            )
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("status")
+            .parquet(stage)
+        )
+        staged = self.spark.read.schema(STAGE_SCHEMA).parquet(stage)
+        valid_text = staged.where(F.col("status") == "valid").select(*PARSED_COLUMNS)
+        bronze = dedup_earliest(typed_events(valid_text, self.tz))
+        bronze.withColumn("ingested_at", F.current_timestamp()).select(*BRONZE_COLUMNS).write.mode(
+            "overwrite"
+        ).parquet(self.path("bronze"))
+        staged.where(F.col("status") == "rejected").select("value", *PARSED_COLUMNS, "failed_rules").write.mode(
+            "overwrite"
+        ).parquet(self.path("rejects"))
 
     def bronze(self) -> DataFrame:
         # Streaming ingest writes query_id=/batch_id= sub-folders; only the

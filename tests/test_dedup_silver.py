@@ -159,3 +159,19 @@ def test_curated_bounds_manifest_matches_the_table(spark, scratch):
     assert (b[0].max_event_timestamp, b[0].min_event_timestamp, b[0].row_count) == (cur.mx, cur.mn, cur.n)
     # the latest time used by the gold queries is the manifest's
     assert spark.range(1).select(lake.latest_event_time().alias("t")).collect()[0].t == cur.mx
+
+
+def test_single_pass_ingest_equals_lazy_layers(spark, scratch):
+    from ripplecast.plans.lakehouse import Lakehouse
+    from ripplecast.schema import PARSED_COLUMNS
+    from ripplecast.sources.driver_feed import driver_messages
+
+    lake = Lakehouse(spark, scratch)
+    lake.write_landing(driver_messages(spark, "/root/testdata/sf0.001", 3))
+    lake.build_bronze()
+    written, lazy = lake.bronze().select(*PARSED_COLUMNS), lake.deduplicated()
+    assert written.count() == 897
+    assert written.exceptAll(lazy).count() == 0 and lazy.exceptAll(written).count() == 0
+    rej_written, rej_lazy = lake.rejects(), lake.rejected()
+    assert rej_written.count() == 106
+    assert rej_written.exceptAll(rej_lazy).count() == 0 and rej_lazy.exceptAll(rej_written).count() == 0
