@@ -1,6 +1,7 @@
 """Medallion layers as written Parquet tables under one root folder.
 
     <root>/landing                 JSON lines, one message per line (the topic)
+    <root>/_stage                  parsed messages by outcome (batch ingest)
     <root>/bronze                  valid, de-duplicated events (+ ingested_at)
     <root>/rejects                 rejected messages with failed rule names
     <root>/silver/user_dim         first-seen users
