@@ -359,7 +359,7 @@ class Lakehouse:
             int(prev.row_count) - int(replaced.get.get("n") or 0) + int(b.get("row_count") or 0),
         )
         self._write_progress(seen)
-        self._invalidate("silver")
+        self._invalidate("silver", "bronze")  # bronze has new batches too
         return True
 
     def users(self) -> DataFrame:

@@ -147,3 +147,23 @@ def test_update_gold_equals_full_gold(spark, scratch):
     lake.build_silver()
     lake.build_gold()
     assert gold_snapshot() == incremental
+
+
+def test_bronze_read_sees_new_batches_after_update(spark, scratch):
+    lake = Lakehouse(spark, os.path.join(scratch, "lake"))
+    land = os.path.join(scratch, "landing")
+    os.makedirs(land)
+
+    def ingest():
+        q = start_ingest(file_messages(spark, land), lake.path("bronze"), lake.path("_ck"),
+                         trigger={"availableNow": True})
+        q.awaitTermination()
+
+    _write(os.path.join(land, "1.json"), [_like("a1", "u1", "one", "2026-01-01T10:00:00+00:00")])
+    ingest()
+    lake.build_silver()
+    assert lake.bronze().count() == 1
+    _write(os.path.join(land, "2.json"), [_like("a2", "u2", "two", "2026-01-02T10:00:00+00:00")])
+    ingest()
+    assert lake.update_silver()
+    assert lake.bronze().count() == 2 and lake.curated().count() == 2
