@@ -49,3 +49,32 @@ def test_rules_match_required_fields(spark, msgs):
     for m, row in zip(msgs, got):
         assert row.ok == expected_valid(m), (m, row)
         assert (row.why == "") == row.ok
+
+
+row = st.tuples(
+    st.sampled_from(["a", "b", "c", "d"]),  # event_id: many duplicates
+    st.one_of(st.none(), st.integers(0, 3)),  # event_timestamp (minutes), NULLs allowed
+    st.sampled_from(["x", "y", None]),  # another column
+)
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(row, min_size=60, max_size=60))
+def test_dedup_earliest_matches_python_reference(spark, rows):
+    import datetime as dt
+
+    from ripplecast.operators.dedup import dedup_earliest
+
+    base = dt.datetime(2026, 1, 1)
+    data = [(i, None if t is None else base + dt.timedelta(minutes=t), v) for i, t, v in rows]
+    df = spark.createDataFrame(data, "event_id string, event_timestamp timestamp_ntz, v string")
+    got = {r.event_id: (r.event_timestamp, r.v) for r in dedup_earliest(df).collect()}
+
+    def key(r):  # ascending, NULLs last, on (timestamp, v)
+        return (r[1] is None, r[1] or base, r[2] is None, r[2] or "")
+
+    want = {}
+    for r in data:
+        if r[0] not in want or key(r) < key(want[r[0]]):
+            want[r[0]] = r
+    assert got == {k: (r[1], r[2]) for k, r in want.items()}
