@@ -78,3 +78,33 @@ def test_dedup_earliest_matches_python_reference(spark, rows):
         if r[0] not in want or key(r) < key(want[r[0]]):
             want[r[0]] = r
     assert got == {k: (r[1], r[2]) for k, r in want.items()}
+
+
+tagged = st.tuples(st.sampled_from(["#a", "#b", "#c", "#d", "#e"]), st.integers(0, 20))
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(tagged, min_size=80, max_size=80))
+def test_trending_matches_python_reference(spark, events):
+    import datetime as dt
+
+    from conftest import curated_df
+    from ripplecast.operators.gold import trending_hashtags
+
+    base = dt.datetime(2026, 1, 1, 12, 0)
+    rows = [dict(hashtag=h, event_timestamp=base - dt.timedelta(minutes=m)) for h, m in events]
+    got = {
+        (r.window_minutes, r.hashtag): (r.event_count, r.rank)
+        for r in trending_hashtags(curated_df(spark, rows), windows_minutes=(1, 5, 15), top_n=3).collect()
+    }
+    latest = max(r["event_timestamp"] for r in rows)
+    want = {}
+    for w in (1, 5, 15):
+        counts = {}
+        for r in rows:
+            if latest - dt.timedelta(minutes=w) <= r["event_timestamp"] <= latest:
+                counts[r["hashtag"]] = counts.get(r["hashtag"], 0) + 1
+        ranked = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:3]
+        for i, (h, n) in enumerate(ranked, 1):
+            want[(w, h)] = (n, i)
+    assert got == want
