@@ -108,3 +108,30 @@ def test_trending_matches_python_reference(spark, events):
         for i, (h, n) in enumerate(ranked, 1):
             want[(w, h)] = (n, i)
     assert got == want
+
+
+engagement = st.tuples(st.sampled_from([f"u{i}" for i in range(12)]),
+                       st.sampled_from(["like", "comment", "share", "video_view", "follow"]))
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(engagement, min_size=120, max_size=120))
+def test_influencer_ranking_matches_python_reference(spark, events):
+    import datetime as dt
+
+    from conftest import curated_df
+    from ripplecast.operators.gold import influencer_ranking
+
+    t = dt.datetime(2026, 1, 1)
+    rows = [dict(post_creator_user_id=u, event_type=e, event_timestamp=t) for u, e in events]
+    users = spark.createDataFrame([(f"u{i}", f"n{i}") for i in range(0, 12, 2)], "user_id string, username string")
+    got = {r.user_id: (int(r.engagement_score), r.rank, r.username) for r in
+           influencer_ranking(curated_df(spark, rows), users).collect()}
+    weight = {"like": 1, "comment": 2, "share": 3}
+    score = {}
+    for u, e in events:
+        if e in weight:
+            score[u] = score.get(u, 0) + weight[e]
+    order = sorted(score, key=lambda u: (-score[u], u))
+    names = {f"u{i}": f"n{i}" for i in range(0, 12, 2)}
+    assert got == {u: (score[u], i, names.get(u)) for i, u in enumerate(order, 1)}
