@@ -133,7 +133,7 @@ class Lakehouse:
         self._invalidate("landing")
         messages.select(F.col("value").cast("string")).write.mode("overwrite").text(self.path("landing"))
 
-    def ensure_landing(self, messages: "Callable[[], DataFrame]") -> None:
+    def ensure_landing(self, messages: Callable[[], DataFrame]) -> None:
         """Write the landing folder from `messages()` unless it is complete."""
         if "landing" not in self._ensured and not is_complete(self.spark, self.path("landing")):
             self.write_landing(messages())
