@@ -175,15 +175,14 @@ def _data_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n for n in names if not n.rsplit("/", 1)[-1].startswith(("_", ".")))
 
 
-def curated_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curated maintained incrementally while messages keep arriving.
+def incremental_lake(spark: SparkSession, sf_dir: str):
+    """A lake maintained incrementally while messages keep arriving.
 
-    The first landing segment arrives in a live folder, the stream ingests it
-    and silver is built in full; then the remaining segments arrive, the stream
-    ingests them as new micro-batches and `update_silver` folds only those in.
-    Equal to a full build. Rerunning processes nothing new."""
+    The first landing segment arrives in a live folder, the stream ingests it,
+    silver and gold are built in full; then the remaining segments arrive, the
+    stream ingests them as new micro-batches and `update_silver` /
+    `update_gold` fold only those in. Rerunning processes nothing new."""
     from ripplecast.plans.lakehouse import Lakehouse, is_complete
-    from ripplecast.schema import CURATED_COLUMNS
     from ripplecast.streaming.ingest import file_messages, start_ingest
 
     base = driver_lake(spark, sf_dir, "landing")
@@ -210,8 +209,27 @@ def curated_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest()
     if lake._read_progress() is None:
         lake.build_silver()
+        lake.build_gold()
     if segments[1:]:
         arrive("p2", segments[1:])
         ingest()
-        lake.update_silver()
-    return lake.curated().select(*CURATED_COLUMNS)
+        if lake.update_silver():
+            lake.update_gold()
+    return lake
+
+
+def curated_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated of the incrementally maintained lake (equal to a full build)."""
+    from ripplecast.schema import CURATED_COLUMNS
+
+    return incremental_lake(spark, sf_dir).curated().select(*CURATED_COLUMNS)
+
+
+def influencer_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INFLUENCER_RANKING of the incrementally maintained lake (daily rollup)."""
+    return incremental_lake(spark, sf_dir).gold("influencer_ranking")
+
+
+def sentiment_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COMMENT_SENTIMENT of the incrementally maintained lake (touched dates)."""
+    return incremental_lake(spark, sf_dir).gold("comment_sentiment")
