@@ -159,7 +159,11 @@ def viral_posts(
 # --------------------------------------------------------------------------
 # Influencer ranking
 # --------------------------------------------------------------------------
-def engagement_counts(curated: DataFrame, by: tuple[str, ...] = (), weights: dict[str, int] = ENGAGEMENT_WEIGHTS) -> DataFrame:
+def engagement_counts(
+    curated: DataFrame,
+    by: tuple[str, ...] = (),
+    weights: dict[str, int] = ENGAGEMENT_WEIGHTS,
+) -> DataFrame:
     """Likes / comments / shares received per post creator (and per `by`
     columns, e.g. a daily rollup). Partial aggregation before the shuffle."""
     t = F.col("event_type")
