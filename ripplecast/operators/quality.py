@@ -131,15 +131,20 @@ def post_dim_nulls(posts: DataFrame) -> DataFrame:
 def quality_report(curated: DataFrame, users: DataFrame, posts: DataFrame) -> DataFrame:
     """(check, violations) for every check that detects faults; 0 = clean."""
     rows = lambda df: df.agg(F.count(F.lit(1)).cast("long").alias("violations"))
-    mf = missing_fields(curated)
+    # One pass over curated for the row-level checks (missing fields, unknown types).
+    row_level = curated.agg(
+        sum(
+            (F.count_if(F.col(c).isNull()) for c in ("event_id", "event_type", "user_id", "event_timestamp")),
+            F.lit(0),
+        ).cast("long").alias("missing"),
+        F.count_distinct(F.when(~F.col("event_type").isin(*EVENT_TYPES), F.col("event_type"))).cast("long").alias(
+            "invalid"
+        ),
+    )
     parts = {
         "duplicate_events": rows(duplicate_events(curated)),
-        "missing_fields": mf.select(
-            (F.col("null_event_id") + F.col("null_event_type") + F.col("null_user_id") + F.col("null_event_timestamp"))
-            .cast("long")
-            .alias("violations")
-        ),
-        "invalid_types": rows(invalid_types(curated)),
+        "missing_fields": row_level.select(F.col("missing").alias("violations")),
+        "invalid_types": row_level.select(F.col("invalid").alias("violations")),
         "orphan_users": rows(orphan_users(curated, users)),
         "orphan_posts": rows(orphan_posts(curated, posts)),
         "duplicate_users": rows(duplicate_users(users)),
