@@ -39,6 +39,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("RIPPLECAST_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Catalog databases of tests / bench go to a scratch folder, not the cwd.
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ripplecast-warehouse-"))
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
