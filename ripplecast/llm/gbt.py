@@ -38,14 +38,16 @@ class Forest:
 
 def fit_forest(
     x: np.ndarray, y: np.ndarray, monotone: np.ndarray | None = None, trees: int = 60, depth: int = 3,
-    rate: float = 0.15, bins: int = 64, min_rows: int = 20, ridge: float = 1.0,
+    rate: float = 0.15, bins: int = 64, min_rows: int | None = None, ridge: float = 1.0,
 ) -> Forest:
     """Boost logistic loss. monotone[f] is +1 / -1 where the score may only rise / fall with feature f.
 
     Splits that would break a constraint are refused, and the bounds they set
-    hold for everything below them, so the whole forest is monotone.
+    hold for everything below them, so the whole forest is monotone. Leaves hold at
+    least `min_rows` rows (default: 1 % of the rows, between 4 and 20).
     """
     n, width = x.shape
+    min_rows = min_rows or max(4, min(20, n // 100))
     monotone = np.zeros(width, int) if monotone is None else monotone
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(width)]
     binned = np.stack([np.searchsorted(cuts[f], x[:, f], "left") for f in range(width)], 1)

@@ -67,8 +67,12 @@ class Chunk:
     ends: np.ndarray
     table: pa.RecordBatch  # the rows themselves, for further columns
 
-    def text(self, i: int) -> bytes:
-        return self.buf[self.starts[i] : self.ends[i]].tobytes()
+    def rows(self, at: np.ndarray) -> Chunk:
+        """Some of the rows as a chunk of their own."""
+        size = (self.ends - self.starts)[at]
+        ends = np.cumsum(size)
+        take = np.arange(int(size.sum())) - np.repeat(ends - size, size) + np.repeat(self.starts[at], size)
+        return Chunk(self.ids[at], self.valid[at], self.buf[take], ends - size, ends, self.table.take(pa.array(at)))
 
 
 def _string_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
