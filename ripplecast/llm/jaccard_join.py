@@ -440,5 +440,12 @@ def jaccard_classes(
     )
 
 
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of `docs` whose document is the least of its class (null ids stay)."""
+    classes = jaccard_classes(docs, id_col=id_col, **options)
+    copies = classes.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(copies.hint("shuffle_hash"), id_col, "left_anti")
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(read(spark, sf_dir, "documents"))

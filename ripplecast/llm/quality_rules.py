@@ -137,16 +137,31 @@ def _score(forest: Forest | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in chunks(batches):
             s = statistics(c)
-            failed = (s["n_words"] < 50) | (100 * s["n_repeat_words"] > 50 * s["n_words"])
-            score = np.ones(len(c.ids)) if forest is None else forest.probability(s["features"])
+            failed, kept, score = _verdict(forest, s)
             counts = [s[k] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
             cols = [c.table.column("doc_id"), *(pa.array(x, pa.int64()) for x in counts)]
-            cols += [pa.array(failed), pa.array(~failed & (score >= KEEP_ABOVE)), pa.array(score)]
+            cols += [pa.array(failed), pa.array(kept), pa.array(score)]
             yield pa.RecordBatch.from_arrays(cols, [x.split()[0] for x in SCHEMA.split(", ")])
 
     return run
 
 
+def _verdict(forest: Forest | None, features: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """base_failed, kept, score."""
+    n = features["n_words"]
+    failed = (n < 50) | (100 * features["n_repeat_words"] > 50 * n)
+    score = np.ones(len(n)) if forest is None else forest.probability(features["features"])
+    return failed, ~failed & (score >= KEEP_ABOVE), score
+
+
+def _filter(forest: Forest | None, id_col: str, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in chunks(batches, id_col, text_col):
+            yield c.table.filter(pa.array(_verdict(forest, statistics(c))[1]))
+
+    return run
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Forest | None:
     """The forest of a bounded labelled sample; None without both classes."""
     from ripplecast.llm.training import labelled_sample
@@ -169,5 +184,14 @@ def quality_rules(
     return docs.mapInArrow(_score(forest), SCHEMA)
 
 
+def keep_quality(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS
+) -> DataFrame:
+    """The rows of `docs` that the rules keep, with all their columns."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    forest = fit_quality(texts, labels.select("doc_id", "quality"), train_rows)
+    return docs.mapInArrow(_filter(forest, id_col, text_col), docs.schema)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

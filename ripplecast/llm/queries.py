@@ -6,12 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ripplecast.llm import decontamination
+from ripplecast.llm.decontamination import op3_benchmark_decontamination
 from ripplecast.llm.fm_dedup import op5_substring_dedup
+from ripplecast.llm.jaccard_join import op8_jaccard_join
 from ripplecast.llm.lpf_dedup import op9_suffix_array_dedup
+from ripplecast.llm.nbsvm import op2_quality_classifier
+from ripplecast.llm.packing import op6_best_fit_packing
+from ripplecast.llm.quality_rules import op4_quality_rules
+from ripplecast.llm.secrets import op10_secret_scan
+from ripplecast.llm.toxicity import op7_toxicity
+from ripplecast.llm.url_trust import op1_url_trust
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_trust": op1_url_trust,
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_toxicity": op7_toxicity,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The others keep state over the corpus or train a model: tests/llm holds them against brute force.
+ORACLE_SQL: dict[str, str] = {"op3_benchmark_decontamination": decontamination.ORACLE}

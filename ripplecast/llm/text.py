@@ -97,7 +97,7 @@ def chunks(
         else:
             col = batch.column(id_col)
             valid = np.asarray(col.is_valid())
-            ids = col.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids = col.fill_null(0).cast(pa.int64()).to_numpy(zero_copy_only=False)
         row, n = 0, batch.num_rows
         while row < n:
             last = max(row + 1, int(np.searchsorted(offs, offs[row] + size, "right")) - 1)
