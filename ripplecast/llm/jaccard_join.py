@@ -315,22 +315,25 @@ def _blocks(order: np.ndarray, comp: np.ndarray, block: np.ndarray) -> list[np.n
     return np.split(order, np.flatnonzero(change) + 1) if len(order) else []
 
 
-CLUSTER_SCHEMA = "doc_id long, comp long, block int, cluster long"
+CLUSTER_SCHEMA = "doc_id long, comp long, nb int, block int, cluster long, tokens binary"
 
 
 def _cluster(percent: int):
-    """Clusters of each (comp, block) of a partition."""
+    """Clusters of each (comp, block) of a partition. Components of several blocks keep their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (doc, comp, block), tokens = _rows(batches, ("doc_id", "comp", "block"))
-        order = np.lexsort((doc, block, comp))
-        for at in _blocks(order, comp, block):
+        (doc, comp, nb, block), tokens = _rows(batches, ("doc_id", "comp", "nb", "block"))
+        for at in _blocks(np.lexsort((doc, block, comp)), comp, block):
             at = at[np.append(True, np.diff(doc[at]) != 0)]  # one document twice
             label = cluster_block([tokens[i] for i in at], percent)
+            kept = [tokens[i].tobytes() if nb[i] > 1 else None for i in at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[at]), pa.array(comp[at]), pa.array(block[at].astype(np.int32)), pa.array(doc[at][label])],
-                ["doc_id", "comp", "block", "cluster"],
-            )
+                [
+                    pa.array(doc[at]), pa.array(comp[at]), pa.array(nb[at].astype(np.int32)), pa.array(block[at].astype(np.int32)),
+                    pa.array(doc[at][label]), pa.array(kept, pa.binary()),
+                ],
+                ["doc_id", "comp", "nb", "block", "cluster", "tokens"],
+            )
 
     return run
 
@@ -355,48 +358,46 @@ def _search(percent: int):
 
 
 def _regroup(labels: DataFrame, edges: DataFrame, label: str) -> DataFrame:
-    """Labels (.., cluster) after joining clusters by `edges` (u, v)."""
+    """`labels` with `cluster` replaced after joining clusters by `edges` (u, v).
+
+    Only clusters that meet another are listed: a small table beside the labelled sets.
+    """
     roots = connected_components(edges, label).select(F.col("node").alias("cluster"), "component")
-    return (
-        labels.join(roots, "cluster", "left")
-        .withColumn("cluster", F.coalesce("component", "cluster"))
-        .drop("component")
-    )
+    columns = [F.coalesce("component", "cluster").alias(c) if c == "cluster" else F.col(c) for c in labels.columns]
+    return labels.join(roots, "cluster", "left").select(*columns)
 
 
 def _clusters(sets: DataFrame, percent: int, block_docs: int, width: int) -> DataFrame:
     """(doc_id, cluster) of the candidate sets; exact within each coarse component."""
-    spark = sets.sparkSession
     key = F.pmod(F.xxhash64("comp", "block"), F.lit(width)).cast("int")
-    local = sets.select("doc_id", "comp", "block", "tokens").repartitionById(width, key).mapInArrow(_cluster(percent), CLUSTER_SCHEMA)
+    columns = ("doc_id", "comp", "nb", "block", "tokens")
+    local = sets.select(*columns).repartitionById(width, key).mapInArrow(_cluster(percent), CLUSTER_SCHEMA)
     local = materialise(local, "jaccard-local")
-    multi = sets.where("nb > 1")
-    if multi.isEmpty():
+    big = local.where("nb > 1")
+    if big.select("doc_id").isEmpty():
         return local.select("doc_id", "cluster")
-    tokens = multi.select("doc_id", "nb", "tokens")
-    big = local.join(multi.select("doc_id"), "doc_id", "left_semi")
     # The largest cluster of every block, by its least document, against each other.
     counts = big.groupBy("comp", "block", "cluster").count()
     leaders = counts.groupBy("comp", "block").agg(F.max_by("cluster", F.struct("count", "cluster")).alias("doc_id"))
-    groups = leaders.groupBy("comp").agg(F.ceil(F.count("*") / block_docs).alias("parts"))
+    groups = leaders.groupBy("comp").agg(F.ceil(F.count("*") / block_docs).cast("int").alias("parts"))
+    leaders = materialise(leaders.select("comp", "doc_id").join(groups, "comp").select("doc_id", "parts"), "jaccard-leaders")
+    heads = big.where("doc_id = cluster").join(leaders, "doc_id")
     met = (
-        leaders.select("comp", "doc_id").join(groups, "comp").join(tokens, "doc_id")
-        .select("doc_id", "comp", F.pmod(F.hash("doc_id"), F.col("parts")).cast("int").alias("block"), "tokens")
+        heads.select("doc_id", "comp", F.lit(1).alias("nb"), F.pmod(F.hash("doc_id"), F.col("parts")).alias("block"), "tokens")
         .repartitionById(width, key).mapInArrow(_cluster(percent), CLUSTER_SCHEMA)
     )
-    big = materialise(_regroup(big, met.select(F.col("doc_id").alias("u"), F.col("cluster").alias("v")), "jaccard-leaders"), "jaccard-big")
+    big = _regroup(big, met.select(F.col("doc_id").alias("u"), F.col("cluster").alias("v")), "jaccard-leaders")
+    labels = materialise(big.drop("tokens"), "jaccard-big")
     # Everything outside a component's largest cluster, against all blocks of the component.
-    sizes = big.groupBy("comp", "cluster").count()
+    sizes = labels.groupBy("comp", "cluster").count()
     largest = sizes.groupBy("comp").agg(F.max_by("cluster", F.struct("count", "cluster")).alias("largest"))
-    own = big.join(tokens, "doc_id").select("comp", "block", "cluster", F.lit(0).alias("query"), "tokens")
-    asked = (
-        big.join(largest, "comp").where("cluster <> largest").join(tokens, "doc_id")
-        .select("comp", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"), "cluster", F.lit(1).alias("query"), "tokens")
-    )
+    largest = materialise(largest, "jaccard-largest")
+    own = big.select("comp", "block", "cluster", F.lit(0).alias("query"), "tokens")
+    every = F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block")
+    asked = big.join(largest, "comp").where("cluster <> largest").select("comp", every, "cluster", F.lit(1).alias("query"), "tokens")
     links = own.unionByName(asked).repartitionById(width, key).mapInArrow(_search(percent), "u long, v long")
-    big = _regroup(big, links, "jaccard-links").select("doc_id", "cluster")
-    small = local.join(multi.select("doc_id"), "doc_id", "left_anti").select("doc_id", "cluster")
-    return materialise(small.unionByName(big), "jaccard-clusters")
+    done = _regroup(labels, links, "jaccard-links").select("doc_id", "cluster")
+    return materialise(local.where("nb = 1").select("doc_id", "cluster").unionByName(done), "jaccard-clusters")
 
 
 def jaccard_classes(
