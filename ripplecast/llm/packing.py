@@ -166,7 +166,16 @@ class _Supply:
 
 
 def pack_lengths(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
-    """Patterns (lengths in a sequence, how many such sequences) that hold all pieces."""
+    """Patterns (lengths in a sequence, how many such sequences) that hold all pieces.
+
+    Where filling gaps exactly uses up the short pieces too early, best fit alone
+    may need fewer sequences; the smaller plan is returned.
+    """
+    plans = [_fill_exactly(counts, capacity), _best_fit(counts, capacity)]
+    return min(plans, key=lambda plan: sum(times for _, times in plan))
+
+
+def _fill_exactly(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
     supply, plan, rest = _Supply(counts, capacity), [], {}
     for length in range(capacity, 0, -1):
         while supply.n[length]:
@@ -178,9 +187,13 @@ def pack_lengths(counts: dict[int, int], capacity: int) -> list[tuple[list[int],
             times = supply.times([length, *more])
             supply.take([length, *more], times)
             plan.append(([length, *more], times))
-    # Best fit, longest first: the tightest gap that holds a piece; else new sequences.
+    return plan + _best_fit(rest, capacity)
+
+
+def _best_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
+    """Longest first, into the tightest gap that holds a piece; else new sequences."""
     gaps: dict[int, list[list]] = defaultdict(list)
-    for length, n in rest.items():
+    for length, n in sorted(counts.items(), reverse=True):
         while n:
             gap = min((g for g, x in gaps.items() if g >= length and x), default=None)
             if gap is not None:
@@ -195,7 +208,7 @@ def pack_lengths(counts: dict[int, int], capacity: int) -> list[tuple[list[int],
                 used = n // each
                 gaps[capacity - each * length].append([[length] * each, used])
                 n -= used * each
-    return plan + [(x, times) for group in gaps.values() for x, times in group]
+    return [(x, times) for group in gaps.values() for x, times in group]
 
 
 def _slots(plan: list[tuple[list[int], int]], capacity: int) -> tuple[np.ndarray, ...]:
