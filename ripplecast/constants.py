@@ -28,7 +28,6 @@ POST_EVENT_TYPES: tuple[str, ...] = (
 )
 
 # Event types that must carry a target user.
-TARGET_EVENT_TYPES: tuple[str, ...] = ("follow", "profile_visit")
 
 # Engagement types that count towards a creator's score, with weights.
 ENGAGEMENT_WEIGHTS: dict[str, int] = {"like": 1, "comment": 2, "share": 3}

@@ -57,7 +57,7 @@ def update_batch(lake: Lakehouse) -> bool:
     """Fold the bronze micro-batches committed since the last build into
     SILVER, then GOLD; both rewrite only the dates the new events touch."""
     changed = lake.update_silver()
-    if changed:
+    if changed or lake.gold_pending():  # also dates of an update whose gold failed
         lake.update_gold()
     register_catalog(lake)
     return changed

@@ -10,18 +10,18 @@ skew join splits such partitions only in some plan shapes (measured: the first
 join of a chain, not the later ones), so the split is done explicitly:
 
 1. one partial aggregation counts the fact keys (NULL is a key here);
-2. the heaviest keys, at most `top_k` of them, each holding more than
-   `rows_per_split` rows, get `ceil(count / rows_per_split)` splits. That table
-   has at most `top_k` rows: a proven bound, so it is broadcast;
+2. every key holding more than a split's rows gets `ceil(count / rows)` splits,
+   where a split is `rows_per_split` rows or, on larger input, 1/50,000 of all
+   rows. So at most 50,000 keys can be heavy: a proven bound, so that table is
+   broadcast, and no heavy key is left out;
 3. each fact row of a heavy key gets a salt `xxhash64(salt_col) mod splits`
    (deterministic, so a retried task computes the same salt);
-4. the dimension rows of heavy keys are replicated once per salt (at most
-   `top_k` keys × their splits rows), all other rows get salt 0;
+4. the dimension rows of heavy keys are replicated once per salt (at most twice
+   50,000 rows in all), all other rows get salt 0;
 5. the join runs on (key, salt). NULL keys still never match, but their rows
    are spread over many tasks.
 
-Any key with more than total/top_k rows is among the top_k heaviest, so after the
-split no task receives more than about `rows_per_split` rows of a single key.
+After the split no task receives more than about one split's rows of a single key.
 """
 
 from __future__ import annotations
@@ -30,6 +30,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Most keys that can hold more than a split's rows.
+MAX_HEAVY_KEYS = 50_000
+
+
 def estimated_size_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of `df` (what the planner compares with the
     broadcast threshold)."""
@@ -51,7 +55,6 @@ def lookup_left_join(
     dim_key: str,
     salt_col: str,
     rows_per_split: int = 2_000_000,
-    top_k: int = 1000,
     force_split: bool = False,
 ) -> DataFrame:
     """`fact LEFT JOIN dim ON fact[fact_key] = dim[dim_key]`; `dim_key` must be
@@ -60,13 +63,11 @@ def lookup_left_join(
     if not force_split and 0 <= estimated_size_bytes(dim) <= limit:
         return fact.join(dim, fact[fact_key] == dim[dim_key], "left")
 
-    heavy = (
-        fact.groupBy(F.col(fact_key).alias("__hk"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > rows_per_split)
-        .orderBy(F.desc("__n"))
-        .limit(top_k)
-        .select("__hk", F.ceil(F.col("__n") / F.lit(rows_per_split)).cast("long").alias("__splits"))
+    counts = fact.groupBy(F.col(fact_key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
+    total = fact.agg(F.count(F.lit(1))).scalar()
+    rows = F.greatest(F.lit(rows_per_split), F.ceil(total / F.lit(MAX_HEAVY_KEYS)))
+    heavy = counts.where(F.col("__n") > rows).select(
+        "__hk", F.ceil(F.col("__n") / rows).cast("long").alias("__splits")
     )
     tagged = fact.join(F.broadcast(heavy), fact[fact_key].eqNullSafe(F.col("__hk")), "left")
     salted_fact = tagged.select(

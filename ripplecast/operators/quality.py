@@ -141,10 +141,14 @@ def quality_report(curated: DataFrame, users: DataFrame, posts: DataFrame) -> Da
             "invalid"
         ),
     )
+    named = F.explode(
+        F.array(
+            F.struct(F.lit("missing_fields").alias("check"), F.col("missing").alias("violations")),
+            F.struct(F.lit("invalid_types").alias("check"), F.col("invalid").alias("violations")),
+        )
+    )
     parts = {
         "duplicate_events": rows(duplicate_events(curated)),
-        "missing_fields": row_level.select(F.col("missing").alias("violations")),
-        "invalid_types": row_level.select(F.col("invalid").alias("violations")),
         "orphan_users": rows(orphan_users(curated, users)),
         "orphan_posts": rows(orphan_posts(curated, posts)),
         "duplicate_users": rows(duplicate_users(users)),
@@ -158,5 +162,6 @@ def quality_report(curated: DataFrame, users: DataFrame, posts: DataFrame) -> Da
     }
     return reduce(
         DataFrame.unionByName,
-        [df.select(F.lit(name).alias("check"), "violations") for name, df in parts.items()],
+        [row_level.select(named.alias("r")).select("r.*")]
+        + [df.select(F.lit(name).alias("check"), "violations") for name, df in parts.items()],
     )

@@ -16,25 +16,16 @@ from pyspark.sql import functions as F
 from ripplecast.plans.lineage import cut_lineage
 
 
+#: Rows of a range partition. The number of partitions follows the row count, without a ceiling.
+ROWS_PER_PARTITION = 1_000_000
+
+
 def range_partitions(df: DataFrame, num_partitions: int | None = None) -> int:
-    """Number of range partitions: given, else about one per advisory partition
-    size (`spark.sql.adaptive.advisoryPartitionSizeInBytes`) of Catalyst's size
-    estimate, at most `spark.sql.shuffle.partitions` (also the fallback when the
-    estimate is unknown)."""
+    """Number of range partitions: given, else one per `ROWS_PER_PARTITION` counted
+    rows (estimates are unreliable behind joins and explodes)."""
     if num_partitions:
         return int(num_partitions)
-    from ripplecast.operators.joins import estimated_size_bytes
-
-    spark = df.sparkSession
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    advisory = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB") or "64MB"
-    )
-    try:
-        size = estimated_size_bytes(df)
-    except Exception:  # noqa: BLE001 - no statistics: use the cap
-        return cap
-    return max(1, min(cap, -(-size // max(1, int(advisory)))))
+    return max(1, -(-df.count() // ROWS_PER_PARTITION))
 
 
 def global_row_number(
@@ -103,8 +94,3 @@ def global_running_sum(
         *[F.col(c) for c in df.columns],
         (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).alias(name),
     )
-
-
-def local_row_number(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """Plain single-task form; only for inputs with a known small bound."""
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))

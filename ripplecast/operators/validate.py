@@ -9,7 +9,6 @@ from ripplecast.functions.parsing import utc_timestamp
 from ripplecast.functions.rules import failed_rules, is_valid, validation_rules
 from ripplecast.schema import CORRUPT_COLUMN, PARSED_COLUMNS, TIMESTAMP_COLUMNS
 
-REJECT_COLUMNS_EXTRA = ("failed_rules",)
 
 
 def typed_events(valid_text: DataFrame, session_tz: str = "UTC") -> DataFrame:

@@ -16,6 +16,7 @@ driver. Written layers are also the lineage cuts between stages.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -276,7 +277,8 @@ class Lakehouse:
           late event), are recomputed from their own base columns plus the new
           events and replaced by a dynamic partition overwrite; other dates stay.
 
-        Write order: staged curated dates → curated → dimensions → progress.
+        Write order: dates gold has to redo → staged curated dates → curated →
+        dimensions → progress.
         Every write replaces recomputed content and duplicates are removed by
         `event_id`, so a failed update can simply be run again. Returns False
         when there is nothing new; without a progress manifest it does a full build.
@@ -331,6 +333,8 @@ class Lakehouse:
             .unionByName(new.select(F.to_date("event_timestamp").alias(EVENT_DATE)))
             .distinct()
         )
+        # Before any table changes: gold owes these dates until it has folded them in.
+        touched.coalesce(1).write.parquet(self.path("gold", "_pending", uuid.uuid4().hex))
         replaced = Observation("replaced_rows")
         # `touched` holds at most one row per date folder of curated (a proven
         # bound), so it is broadcast: no shuffle of curated by date, where a hot
@@ -434,26 +438,46 @@ class Lakehouse:
         ranking = G.influencer_ranking_from_daily(daily, self.users(), run_ts=p.run_ts, session_tz=self.tz)
         ranking.write.mode("overwrite").parquet(self.path("gold", "influencer_ranking"))
 
+    def gold_pending(self) -> list[str]:
+        """Folders of touched dates that gold has not folded in yet (one per silver update)."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path("gold", "_pending"))
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = [str(s.getPath().toString()) for s in fs.listStatus(root)] if fs.exists(root) else []
+        return [p for p in found if is_complete(self.spark, p)]
+
+    def _settle(self, pending: list[str]) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for p in pending:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def update_gold(self) -> None:
-        """Gold after `update_silver`: sentiment and the daily rollup are
-        recomputed only for the dates `update_silver` restaged (their complete new
-        content) and replaced by dynamic partition overwrite; the ranking is
+        """Gold after `update_silver`: sentiment and the daily rollup are recomputed
+        from curated for every date that a silver update touched and gold has not
+        folded in yet, and replaced by dynamic partition overwrite; the ranking is
         re-ranked from the rollup (creators × days rows); the latest-window tables
-        read only the last date folders anyway."""
-        staged_path = self.path("silver", "_staging", "curated")
-        if not is_complete(self.spark, self.path("gold", "_creator_daily")) or not is_complete(
-            self.spark, staged_path
-        ):
+        read only the last date folders anyway.
+
+        The list of owed dates shrinks only after all tables are written, so a run
+        that fails at any write is repeated by the next one, whatever silver did since.
+        """
+        pending = self.gold_pending()
+        if not pending or not is_complete(self.spark, self.path("gold", "_creator_daily")):
             self.build_gold()
+            self._settle(pending)
             return
         self._invalidate("gold")
         p = self.gold_params
-        staged = self.spark.read.parquet(staged_path).withColumn(EVENT_DATE, F.to_date("event_timestamp"))
+        dates = self.spark.read.schema(f"{EVENT_DATE} date").parquet(*pending).distinct()
+        # One row per date folder of curated at most: broadcast.
+        redo = self.curated_partitioned().join(F.broadcast(dates), EVENT_DATE, "left_semi")
         for name in ("trending_hashtags", "viral_posts"):
             self.gold_frame(name).write.mode("overwrite").parquet(self.path("gold", name))
-        self._write_dated(G.comment_sentiment(staged, p.run_ts, self.tz), "comment_sentiment", dynamic=True)
-        self._write_dated(G.engagement_counts(staged, by=(EVENT_DATE,)), "_creator_daily", dynamic=True)
+        self._write_dated(G.comment_sentiment(redo, p.run_ts, self.tz), "comment_sentiment", dynamic=True)
+        self._write_dated(G.engagement_counts(redo, by=(EVENT_DATE,)), "_creator_daily", dynamic=True)
         self._write_ranking()
+        self._settle(pending)
 
     def gold(self, name: str) -> DataFrame:
         df = self._read("parquet", "gold", name)

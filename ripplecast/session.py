@@ -18,6 +18,8 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Reliable checkpoints go with the DataFrames that hold them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Streaming dedup keeps one entry per event id: keep that state in RocksDB
     # (off-heap, spills to local disk, checkpointed incrementally) rather than
     # in the JVM heap of the default provider.

@@ -6,6 +6,8 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
+
 from conftest import event
 from ripplecast.plans.lakehouse import Lakehouse
 from ripplecast.streaming.ingest import file_messages, start_ingest
@@ -149,6 +151,50 @@ def test_update_gold_equals_full_gold(spark, scratch):
     assert gold_snapshot() == incremental
 
 
+def test_gold_repairs_every_date_of_a_failed_update(spark, scratch, monkeypatch):
+    """Gold that fails at any of its writes loses no date, also when silver goes on meanwhile."""
+    from ripplecast import jobs
+    from ripplecast.plans.lakehouse import GoldParams
+
+    land = os.path.join(scratch, "landing")
+    os.makedirs(land)
+    lake = Lakehouse(spark, os.path.join(scratch, "lake"), GoldParams(run_ts="2026-02-01 00:00:00"))
+    monkeypatch.setattr(jobs, "register_catalog", lambda lake: None)
+
+    def arrive(n, day):
+        _write(os.path.join(land, f"{n}.json"), [
+            _like(f"l{n}", "u1", "one", f"2026-01-0{day}T10:00:00+00:00"),
+            event(event_id=f"c{n}", event_type="comment", user_id="u2", comment_text="Amazing!", post_id="post_1",
+                  post_creator_user_id="u_creator", hashtag="#a", timestamp=f"2026-01-0{day}T11:00:00+00:00"),
+        ])
+        q = start_ingest(file_messages(spark, land), lake.path("bronze"), lake.path("_ck"), trigger={"availableNow": True})
+        q.awaitTermination()
+        assert q.exception() is None
+
+    def gold():
+        return {n: sorted(map(tuple, lake.gold(n).collect())) for n in ("influencer_ranking", "comment_sentiment")}
+
+    arrive(1, 1)
+    lake.build_silver()
+    lake.build_gold()
+    for n, step in enumerate(("_write_dated", "_write_ranking", "_settle"), start=2):
+        arrive(n, n)
+        with monkeypatch.context() as m:
+            def fail(*_, **__):
+                raise RuntimeError("lost")
+            m.setattr(lake, step, fail)
+            with pytest.raises(RuntimeError):
+                jobs.update_batch(lake)
+    arrive(5, 5)
+    assert jobs.update_batch(lake)
+    assert not lake.gold_pending()
+    updated = gold()
+    assert len(updated["comment_sentiment"]) == 5
+    lake.build_silver()
+    lake.build_gold()
+    assert gold() == updated
+
+
 def test_bronze_read_sees_new_batches_after_update(spark, scratch):
     lake = Lakehouse(spark, os.path.join(scratch, "lake"))
     land = os.path.join(scratch, "landing")

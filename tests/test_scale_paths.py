@@ -81,3 +81,15 @@ def test_hot_and_null_keys_are_spread_over_tasks(spark, scratch):
     # 60000 rows over 8 hash partitions: without the split one task would hold
     # the 40000 NULL-key rows and another the 20000 hot rows.
     assert max(r["count"] for r in per_task) < 20000
+
+
+def test_every_heavy_key_is_split(spark):
+    """More heavy keys than any fixed list would hold: none keeps its rows in one task."""
+    from ripplecast.operators.joins import lookup_left_join
+
+    fact = spark.range(0, 30_000).selectExpr("cast(id % 30 as string) AS k", "cast(id as string) AS event_id")
+    dim = spark.range(0, 30).selectExpr("cast(id as string) AS dk", "id AS v")
+    joined = lookup_left_join(fact, dim, "k", "dk", "event_id", rows_per_split=100, force_split=True)
+    assert joined.where("v = cast(k as long)").count() == 30_000
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "GlobalLimit" not in plan
