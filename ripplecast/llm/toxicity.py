@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplecast.llm.gbt import Forest, Isotonic, fit_forest, fit_isotonic
-from ripplecast.llm.tables import read
+from ripplecast.llm.tables import materialise, read
 from ripplecast.llm.text import Chunk, Words, byte_symbols, chunks, mix, prefix_sums, span_hash, split_words
 from ripplecast.llm.training import labelled_sample, remainder
 
@@ -262,9 +262,9 @@ def classify_toxicity(
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sample = labelled_sample(docs, labels.select("doc_id", "toxic"), "toxic", train_rows, remainder(5) != 0)
     # Copies of one text count once: their words are no evidence of their own.
-    sample = sample.dropDuplicates(["text"]).cache()
-    model = fit_toxicity(sample)
-    sample.unpersist()
+    copies = sample.groupBy(F.xxhash64("text").alias("h"), F.length("text").alias("n"))
+    sample = copies.agg(F.min(F.struct("doc_id", "y", "text")).alias("row")).select("row.*")
+    model = fit_toxicity(materialise(sample, "toxicity-sample"))
     held = F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out")
     return docs.select("doc_id", "text", held).mapInArrow(
         _score(model), "doc_id long, held_out boolean, score double, predicted int"
