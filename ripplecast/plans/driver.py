@@ -13,7 +13,8 @@ import hashlib
 import math
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ripplecast.plans.lakehouse import GoldParams, Lakehouse
 from ripplecast.schema import PARSED_COLUMNS
@@ -166,6 +167,25 @@ def stream_hashtag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _twice(df: DataFrame, which: Column) -> DataFrame:
+    copies = F.when(which, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.withColumn("_copy", F.explode(copies)).drop("_copy")
+
+
+def faulted(curated: DataFrame, users: DataFrame, posts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The silver tables with faults seeded by the number in each id, so that every
+    check has something to find: repeated rows, missing and unknown values, and
+    dimension rows that are gone."""
+    n = F.expr("CAST(substr(event_id, 2) AS BIGINT)")
+    u, p = F.expr("CAST(substr(user_id, 6) AS BIGINT)"), F.expr("CAST(substr(post_id, 6) AS BIGINT)")
+    kind = F.when(n % 29 == 5, F.lit("unknown_event")).when(n % 37 != 6, F.col("event_type"))
+    return (
+        _twice(curated, n % 50 == 3).withColumns({"event_type": kind, "user_id": F.when(n % 31 != 4, F.col("user_id"))}),
+        _twice(users.where(u % 7 != 3), u % 5 == 1).withColumn("username", F.when(u % 6 != 2, F.col("username"))),
+        _twice(posts.where(p % 7 != 3), p % 5 == 1).withColumn("created_at", F.when(p % 6 != 2, F.col("created_at"))),
+    )
+
+
 def _data_files(spark: SparkSession, folder: str) -> list[str]:
     """Data files of a written folder, sorted (paths only, listed on the driver)."""
     jvm = spark.sparkContext._jvm
