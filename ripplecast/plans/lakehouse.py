@@ -423,8 +423,10 @@ class Lakehouse:
     def _write_dated(self, df: DataFrame, name: str, dynamic: bool) -> None:
         if EVENT_DATE not in df.columns:
             df = df.withColumn(EVENT_DATE, F.to_date("event_timestamp"))
+        # As for curated: few files per date folder whatever the partitions before.
         (
-            df.write.mode("overwrite")
+            df.hint("rebalance", EVENT_DATE)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
             .partitionBy(EVENT_DATE)
             .parquet(self.path("gold", name))

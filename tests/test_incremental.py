@@ -213,3 +213,17 @@ def test_bronze_read_sees_new_batches_after_update(spark, scratch):
     ingest()
     assert lake.update_silver()
     assert lake.bronze().count() == 2 and lake.curated().count() == 2
+
+
+def test_dated_gold_writes_one_small_file_a_date(spark, scratch):
+    """Rows of two dates in eight partitions each: a date folder gets one file, not eight."""
+    lake = Lakehouse(spark, os.path.join(scratch, "lake"))
+    rows = spark.range(0, 80, 1, 8).selectExpr(
+        "concat('u', id) AS user_id", "id AS n", "date_add(DATE '2026-01-01', cast(id % 2 AS int)) AS event_date"
+    )
+    lake._write_dated(rows, "dated", dynamic=False)
+    folder = lake.path("gold", "dated")
+    dates = [d for d in os.listdir(folder) if d.startswith("event_date=")]
+    assert len(dates) == 2
+    assert all(sum(f.endswith(".parquet") for f in os.listdir(os.path.join(folder, d))) == 1 for d in dates)
+    assert spark.read.parquet(folder).count() == 80
