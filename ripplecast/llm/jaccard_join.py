@@ -12,6 +12,8 @@ Exact, and without listing the pairs of a group:
    apart meet by emitting for the own class and the one below. Small sets use
    plain shingles as keys (prefix filter). Per task only the first document of a
    key is sent, the others are tied to it at once: a hot key costs a row a task.
+   A second packed exchange gathers a document's ties, found in many partitions,
+   and hands on one star for each component of a task: at most one row a node.
 3. *Coarse components* over the key edges, which hold every true link.
 4. *T-occurrence search* in blocks of a component: an inverted index over the
    block's sets; for each document the short lists are merged to candidates with
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplecast.llm.components import connected_components
-from ripplecast.llm.repeats import BLOB_SCHEMA, blob_batch, pid_of
+from ripplecast.llm.repeats import BLOB_SCHEMA, blob_batch, blobs, pid_of
 from ripplecast.llm.tables import materialise, read, shuffle_width
 from ripplecast.llm.text import chunks, mix, shingle_sets
 
@@ -124,6 +126,22 @@ def _pairs(doc: np.ndarray, other: np.ndarray) -> np.ndarray:
     return np.unique(both, axis=0) if len(both) else both.reshape(0, 2)
 
 
+def _stars(edges: np.ndarray) -> np.ndarray:
+    """(node, least node of its component) for all but the least: the edges' components, one row a node."""
+    node, index = np.unique(edges, return_inverse=True)
+    a, b = index.reshape(-1, 2).T
+    label = np.arange(len(node))
+    while len(a):
+        u, v = label[a], label[b]
+        open_ = u != v
+        a, b, u, v = a[open_], b[open_], u[open_], v[open_]
+        np.minimum.at(label, np.maximum(u, v), np.minimum(u, v))
+        while len(a) and (label[label] != label).any():
+            label = label[label]
+    far = np.flatnonzero(label != np.arange(len(node)))
+    return np.stack([node[far], node[label[far]]], 1)
+
+
 def _group_first(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sorted keys and documents, the first document of each key, and where keys begin."""
     order = np.lexsort((doc, key))
@@ -202,31 +220,55 @@ def _node_batch(kind: int, doc, other=None, n=None, h1=None, h2=None, mask=None)
     )
 
 
-def _reduce_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys, docs = [], []
+def _reduce_keys(width: int):
+    """Ties of each key's documents to its first, packed for the partitions of the tied documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, docs, ties = [], [], []
+        for b in batches:
+            for pid, kind, scalar in zip(b.column("pid").to_pylist(), b.column("kind").to_pylist(), b.column("body"), strict=True):
+                body = scalar.as_buffer()
+                if kind == 2:
+                    yield blob_batch([(pid, 2, body.to_pybytes())])
+                elif kind == 1:
+                    ties.append(np.frombuffer(body, "<i8").reshape(-1, 2))
+                else:
+                    n, used = np.frombuffer(body, "<u8", 2)
+                    n, used = int(n), int(used)
+                    at = 16 + 8 * used
+                    table = np.frombuffer(body, "<i8", used, 16)
+                    low = np.frombuffer(body, "<u4", n, at).astype(np.uint64)
+                    high = np.frombuffer(body, "<u2", n, at + 4 * n).astype(np.uint64)
+                    keys.append(high << np.uint64(32) | low)
+                    docs.append(table[np.frombuffer(body, "<u2", n, at + 6 * n)])
+        if keys:
+            _, doc, head, _ = _group_first(np.concatenate(keys), np.concatenate(docs))
+            ties.append(_pairs(doc, head))
+        if ties:
+            ties = np.concatenate(ties)
+            place = mix(ties[:, 0].astype(np.uint64), 26)
+            order = np.argsort(place)
+            yield blob_batch(list(blobs(ties[order].astype("<i8"), place[order], width, 1)))
+
+    return run
+
+
+def _merge_ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ties, size = [], 0
     for b in batches:
         for kind, scalar in zip(b.column("kind").to_pylist(), b.column("body"), strict=True):
             body = scalar.as_buffer()
             if kind == 2:
                 x = np.frombuffer(body, DIGEST)
                 yield _node_batch(DOC, x["doc"], None, x["n"], x["h1"], x["h2"], ~x["valid"])
-            elif kind == 1:
-                x = np.frombuffer(body, "<i8").reshape(-1, 2)
-                yield _node_batch(EDGE, x[:, 0], x[:, 1])
             else:
-                n, used = np.frombuffer(body, "<u8", 2)
-                n, used = int(n), int(used)
-                at = 16 + 8 * used
-                table = np.frombuffer(body, "<i8", used, 16)
-                low = np.frombuffer(body, "<u4", n, at).astype(np.uint64)
-                high = np.frombuffer(body, "<u2", n, at + 4 * n).astype(np.uint64)
-                keys.append(high << np.uint64(32) | low)
-                docs.append(table[np.frombuffer(body, "<u2", n, at + 6 * n)])
-    if keys:
-        _, doc, head, _ = _group_first(np.concatenate(keys), np.concatenate(docs))
-        edges = _pairs(doc, head)
-        if len(edges):
-            yield _node_batch(EDGE, edges[:, 0], edges[:, 1])
+                ties.append(np.frombuffer(body, "<i8").reshape(-1, 2))
+                size += len(ties[-1])
+                if size >= FLUSH_KEYS:
+                    ties, size = [_stars(np.concatenate(ties))], 0
+    if ties:
+        edges = _stars(np.concatenate(ties))
+        yield _node_batch(EDGE, edges[:, 0], edges[:, 1])
 
 
 class InvertedLists:
@@ -411,7 +453,9 @@ def jaccard_classes(
     nodes = (
         docs.mapInArrow(_map_keys(width, percent, shingle), BLOB_SCHEMA)
         .repartitionById(width, F.col("pid"))
-        .mapInArrow(_reduce_keys, NODE_SCHEMA)
+        .mapInArrow(_reduce_keys(width), BLOB_SCHEMA)
+        .repartitionById(width, F.col("pid"))
+        .mapInArrow(_merge_ties, NODE_SCHEMA)
     )
     nodes = materialise(nodes, "jaccard-nodes")
     rows = nodes.where(F.col("kind") == DOC).select("doc_id", "n", "h1", "h2")

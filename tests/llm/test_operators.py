@@ -154,6 +154,26 @@ def test_jaccard_classes(spark, block):
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == classes(ROWS)
 
 
+def test_ties_shrink_to_one_star_per_component():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 40, 400):
+        edges = rng.integers(-300, 300, (size, 2))
+        edges = edges[edges[:, 0] != edges[:, 1]].reshape(-1, 2)
+        parent = {int(x): int(x) for x in edges.ravel()}
+
+        def root(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in edges.tolist():
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+        stars = jaccard_join._stars(edges).tolist()
+        assert dict(stars) == {x: root(x) for x in parent if root(x) != x}
+        assert len(stars) == len(dict(stars))
+
+
 def test_t_occurrence_search_is_exact():
     rng = np.random.default_rng(11)
     base = rng.choice(1 << 40, 60, replace=False).astype(np.uint64)
