@@ -105,6 +105,21 @@ def stream_bronze(
     return read_batches(spark, root + "/bronze").select(*PARSED_COLUMNS)
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected messages of the landing folder by the rejects stream, over several micro-batches."""
+    from ripplecast.streaming.ingest import file_messages, read_batches, start_rejects
+
+    lake = driver_lake(spark, sf_dir, "landing")
+    root = lake.path("stream", "rejects")
+    messages = file_messages(spark, lake.path("landing"), files_per_trigger(spark, lake.path("landing")))
+    query = start_rejects(messages, root + "/out", root + "/_checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    columns = ("value", *PARSED_COLUMNS, "failed_rules")
+    return read_batches(spark, root + "/out", columns=columns, schema=", ".join(f"{c} string" for c in columns))
+
+
 def _run_stream_to_completion(stream: DataFrame, root: str, columns, schema) -> DataFrame:
     from ripplecast.streaming.analytics import start_append
     from ripplecast.streaming.ingest import read_batches
@@ -233,7 +248,8 @@ def incremental_lake(spark: SparkSession, sf_dir: str):
     if segments[1:]:
         arrive("p2", segments[1:])
         ingest()
-        if lake.update_silver():
+        lake.update_silver()
+        if lake.gold_pending():
             lake.update_gold()
     return lake
 

@@ -203,8 +203,16 @@ class Lakehouse:
 
     # -------------------------------------------------------------- silver
     def build_silver(self) -> None:
-        """Full build of the dimensions and curated from all of bronze."""
+        """Full build of the dimensions and curated from all of bronze.
+
+        Without its progress manifest a build that failed half-way is repeated in
+        full by the next update, and gold owes everything until it is rebuilt.
+        """
         self._invalidate("silver", "bronze")
+        self._delete(self.path("silver", "_bronze_progress"))
+        self._delete(self.path("silver", "_staging"))
+        everything = self.spark.createDataFrame([(None,)], f"{EVENT_DATE} date")
+        everything.coalesce(1).write.parquet(self.path("gold", "_pending", uuid.uuid4().hex))
         # Progress is taken before bronze is read: a batch committed in between
         # is then read again by the next update (harmless), never skipped.
         progress = self._batch_ids()
@@ -234,12 +242,12 @@ class Lakehouse:
             .parquet(self.path("silver", "curated"))
         )
 
-    def _write_bounds(self, max_ts, min_ts, rows: int) -> None:
+    def _write_bounds(self, max_ts, min_ts, rows: int, root: str | None = None) -> None:
         # One-row manifest next to the table (metadata, not data).
         self.spark.createDataFrame(
             [(max_ts, min_ts, rows)],
             "max_event_timestamp timestamp_ntz, min_event_timestamp timestamp_ntz, row_count bigint",
-        ).coalesce(1).write.mode("overwrite").parquet(self.path("silver", "curated_bounds"))
+        ).coalesce(1).write.mode("overwrite").parquet((root or self.path("silver")) + "/curated_bounds")
 
     # ------------------------------------------------------ incremental silver
     def _batch_ids(self) -> dict[str, int]:
@@ -253,10 +261,10 @@ class Lakehouse:
             out[qid] = max(out.get(qid, -1), bid)
         return out
 
-    def _write_progress(self, progress: dict[str, int]) -> None:
+    def _write_progress(self, progress: dict[str, int], root: str | None = None) -> None:
         self.spark.createDataFrame(
             sorted(progress.items()) or [("", -1)], "query_id string, max_batch_id bigint"
-        ).coalesce(1).write.mode("overwrite").parquet(self.path("silver", "_bronze_progress"))
+        ).coalesce(1).write.mode("overwrite").parquet((root or self.path("silver")) + "/_bronze_progress")
 
     def _read_progress(self) -> dict[str, int] | None:
         path = self.path("silver", "_bronze_progress")
@@ -277,15 +285,18 @@ class Lakehouse:
           late event), are recomputed from their own base columns plus the new
           events and replaced by a dynamic partition overwrite; other dates stay.
 
-        Write order: dates gold has to redo → staged curated dates → curated →
-        dimensions → progress.
-        Every write replaces recomputed content and duplicates are removed by
-        `event_id`, so a failed update can simply be run again. Returns False
-        when there is nothing new; without a progress manifest it does a full build.
+        Everything new is first written to a staging folder of its own, the progress
+        last; only then are the tables replaced from there (`_apply_silver`). A run that
+        fails before the staged progress is committed has changed nothing and its
+        staging folder is discarded; one that fails later is finished from the staging
+        folder by the next update. So no batch is folded in twice, and events that
+        repeat an id stay, as in a full build. Returns False when there is nothing
+        new; without a progress manifest it does a full build.
         """
         from ripplecast.plans.lineage import cut_lineage
         from ripplecast.streaming.ingest import committed_batches
 
+        recovered = self._recover_silver()
         progress = self._read_progress()
         if progress is None or not is_complete(self.spark, self.path("silver", "curated")):
             self.build_silver()
@@ -297,7 +308,7 @@ class Lakehouse:
                 new_paths.append(path)
                 seen[qid] = max(seen.get(qid, -1), bid)
         if not new_paths:
-            return False
+            return recovered
         new = self.spark.read.option("basePath", self.path("bronze")).parquet(*new_paths).select(*BRONZE_COLUMNS)
 
         old_users = self._read("parquet", "silver", "user_dim")
@@ -333,8 +344,9 @@ class Lakehouse:
             .unionByName(new.select(F.to_date("event_timestamp").alias(EVENT_DATE)))
             .distinct()
         )
-        # Before any table changes: gold owes these dates until it has folded them in.
-        touched.coalesce(1).write.parquet(self.path("gold", "_pending", uuid.uuid4().hex))
+        stage = self.path("silver", "_staging", uuid.uuid4().hex)
+        touched.coalesce(1).write.parquet(stage + "/dates")
+        touched = self.spark.read.schema(f"{EVENT_DATE} date").parquet(stage + "/dates")
         replaced = Observation("replaced_rows")
         # `touched` holds at most one row per date folder of curated (a proven
         # bound), so it is broadcast: no shuffle of curated by date, where a hot
@@ -342,30 +354,57 @@ class Lakehouse:
         old_rows = cur.join(F.broadcast(touched), EVENT_DATE, "left_semi").select(*base).observe(
             replaced, F.count(F.lit(1)).alias("n")
         )
-        events = old_rows.unionByName(new.select(*base)).dropDuplicates(["event_id"])
+        events = old_rows.unionByName(new.select(*base))
         recomputed = S.curated_events(
             events, users.select(*S.USER_DIM_COLUMNS), posts.select(*S.POST_DIM_COLUMNS)
         )
         written = Observation("recomputed_bounds")
-        # Lineage cut through a written table: the dates are read from curated
-        # and then overwrite curated.
-        staged = self.path("silver", "_staging", "curated")
-        recomputed.observe(written, *_bounds_exprs()).write.mode("overwrite").parquet(staged)
-        self._write_curated(self.spark.read.parquet(staged), dynamic=True)
-        users.write.mode("overwrite").parquet(self.path("silver", "user_dim"))
-        posts.write.mode("overwrite").parquet(self.path("silver", "post_dim"))
-
+        recomputed.observe(written, *_bounds_exprs()).write.parquet(stage + "/curated")
+        users.write.parquet(stage + "/user_dim")
+        posts.write.parquet(stage + "/post_dim")
         prev = self._read("parquet", "silver", "curated_bounds").collect()[0]  # the one-row manifest
         b = written.get
         self._write_bounds(
             _extreme(max, prev.max_event_timestamp, b.get("max_event_timestamp")),
             _extreme(min, prev.min_event_timestamp, b.get("min_event_timestamp")),
             int(prev.row_count) - int(replaced.get.get("n") or 0) + int(b.get("row_count") or 0),
+            stage,
         )
-        self._write_progress(seen)
-        self._invalidate("silver", "bronze")  # bronze has new batches too
+        self._write_progress(seen, stage)  # commits the staged update
+        self._apply_silver(stage)
         return True
 
+    def _apply_silver(self, stage: str) -> None:
+        """Replace the silver tables from a committed staging folder; safe to repeat."""
+        # Before any table changes: gold owes these dates until it has folded them in.
+        owed = self.path("gold", "_pending", stage.rsplit("/", 1)[-1])
+        self.spark.read.parquet(stage + "/dates").write.mode("overwrite").parquet(owed)
+        self._write_curated(self.spark.read.parquet(stage + "/curated").drop(EVENT_DATE), dynamic=True)
+        for name in ("user_dim", "post_dim", "curated_bounds", "_bronze_progress"):
+            table = self.spark.read.parquet(f"{stage}/{name}")
+            table.write.mode("overwrite").parquet(self.path("silver", name))
+        self._invalidate("silver", "bronze")  # bronze has new batches too
+        self._delete(stage)
+
+    def _recover_silver(self) -> bool:
+        """Finish an update that failed after its staging folder was committed; drop others."""
+        found = self._children(self.path("silver", "_staging"))
+        committed = [p for p in found if is_complete(self.spark, p + "/_bronze_progress")]
+        for stage in committed:
+            self._apply_silver(stage)
+        for stage in set(found) - set(committed):
+            self._delete(stage)
+        return bool(committed)
+
+    def _children(self, folder: str) -> list[str]:
+        root = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return sorted(str(s.getPath().toString()) for s in fs.listStatus(root)) if fs.exists(root) else []
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def users(self) -> DataFrame:
         return self._read("parquet", "silver", "user_dim").select(*S.USER_DIM_COLUMNS)
 
@@ -412,6 +451,7 @@ class Lakehouse:
         rollup behind the influencer ranking are partitioned by date, so an
         update can replace just the dates it touched (`update_gold`)."""
         self._invalidate("gold")
+        pending = self.gold_pending()
         p = self.gold_params
         cur = self.curated_partitioned()
         for name in ("trending_hashtags", "viral_posts"):
@@ -419,6 +459,7 @@ class Lakehouse:
         self._write_dated(G.comment_sentiment(cur, p.run_ts, self.tz), "comment_sentiment", dynamic=False)
         self._write_dated(G.engagement_counts(cur, by=(EVENT_DATE,)), "_creator_daily", dynamic=False)
         self._write_ranking()
+        self._settle(pending)
 
     def _write_dated(self, df: DataFrame, name: str, dynamic: bool) -> None:
         if EVENT_DATE not in df.columns:
@@ -442,17 +483,11 @@ class Lakehouse:
 
     def gold_pending(self) -> list[str]:
         """Folders of touched dates that gold has not folded in yet (one per silver update)."""
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path("gold", "_pending"))
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        found = [str(s.getPath().toString()) for s in fs.listStatus(root)] if fs.exists(root) else []
-        return [p for p in found if is_complete(self.spark, p)]
+        return [p for p in self._children(self.path("gold", "_pending")) if is_complete(self.spark, p)]
 
     def _settle(self, pending: list[str]) -> None:
-        jvm = self.spark.sparkContext._jvm
         for p in pending:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(p)
 
     def update_gold(self) -> None:
         """Gold after `update_silver`: sentiment and the daily rollup are recomputed
@@ -467,11 +502,13 @@ class Lakehouse:
         pending = self.gold_pending()
         if not pending or not is_complete(self.spark, self.path("gold", "_creator_daily")):
             self.build_gold()
-            self._settle(pending)
+            return
+        dates = self.spark.read.schema(f"{EVENT_DATE} date").parquet(*pending).distinct()
+        if not dates.where(F.col(EVENT_DATE).isNull()).isEmpty():  # silver was rebuilt
+            self.build_gold()
             return
         self._invalidate("gold")
         p = self.gold_params
-        dates = self.spark.read.schema(f"{EVENT_DATE} date").parquet(*pending).distinct()
         # One row per date folder of curated at most: broadcast.
         redo = self.curated_partitioned().join(F.broadcast(dates), EVENT_DATE, "left_semi")
         for name in ("trending_hashtags", "viral_posts"):
@@ -555,6 +592,33 @@ CATALOG_SCHEMAS: dict[tuple[str, str], str] = {
 }
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+    return row and row.data_type
+
+
+def _same_folder(spark: SparkSession, a: str | None, b: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return a is not None and path(a).toUri().getPath() == path(b).toUri().getPath()
+
+
+def _register_batches(spark: SparkSession, name: str, folder: str) -> None:
+    """The table's partitions become the committed micro-batches: a folder still being written stays out of sight."""
+    from ripplecast.streaming.ingest import committed_batches
+
+    want = {f"query_id={q}/batch_id={b}" for q, b in map(_batch_of, committed_batches(spark, folder))}
+    have = {r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}  # metadata: one row a micro-batch
+
+    def specs(parts: list[str], sep: str) -> str:
+        return sep.join("PARTITION (query_id='{}', batch_id={})".format(*_batch_of(p)) for p in parts)
+
+    for verb, parts, sep in (("DROP IF EXISTS", sorted(have - want), ", "), ("ADD IF NOT EXISTS", sorted(want - have), " ")):
+        for at in range(0, len(parts), 1000):
+            spark.sql(f"ALTER TABLE {name} {verb} {specs(parts[at : at + 1000], sep)}")
+
+
 def register_catalog(lake: Lakehouse, prefix: str = "") -> list[str]:
     """Expose the written layers as catalog tables `<prefix>bronze.raw_events`,
     `<prefix>silver.curated_events`, `<prefix>gold.viral_posts`, … (external
@@ -571,18 +635,23 @@ def register_catalog(lake: Lakehouse, prefix: str = "") -> list[str]:
         location = lake.path(*parts).replace("'", "\\'")
         ddl = CATALOG_SCHEMAS.get((db, table))
         columns = f"({ddl}) " if ddl else ""
-        # External tables: dropping one removes only catalog metadata, so the
-        # catalog is re-pointed at this lake even if another lake was registered.
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-        try:
-            spark.sql(f"CREATE TABLE {database}.{table} {columns}USING parquet LOCATION '{location}'")
-        except Exception as e:  # noqa: BLE001
-            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            continue  # folder holds no data file yet: nothing to expose
-        if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{table}")):
-            # Partitioned folders (event_date=, query_id=/batch_id=) are tracked
-            # in the catalog: register new folders and drop vanished ones.
-            spark.sql(f"MSCK REPAIR TABLE {database}.{table} SYNC PARTITIONS")
+        name = f"{database}.{table}"
+        if not _same_folder(spark, _location(spark, name), lake.path(*parts)):
+            # External tables: dropping one removes only catalog metadata, so the
+            # catalog is re-pointed at this lake even if another lake was registered.
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            try:
+                spark.sql(f"CREATE TABLE {name} {columns}USING parquet LOCATION '{location}'")
+            except Exception as e:  # noqa: BLE001
+                if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                    raise
+                continue  # folder holds no data file yet: nothing to expose
+        keys = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+        if keys == ["query_id", "batch_id"]:
+            _register_batches(spark, name, lake.path(*parts))
+        elif keys:
+            # Date folders: register new ones and drop vanished ones.
+            spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        spark.sql(f"REFRESH TABLE {name}")
         made.append(f"{database}.{table}")
     return made

@@ -195,6 +195,78 @@ def test_gold_repairs_every_date_of_a_failed_update(spark, scratch, monkeypatch)
     assert gold() == updated
 
 
+def test_silver_update_that_fails_at_any_write_is_made_good(spark, scratch, monkeypatch):
+    """After a failure at each write the next update gives a full build's tables; an id in two batches stays twice."""
+    land = os.path.join(scratch, "landing")
+    os.makedirs(land)
+    lake = Lakehouse(spark, os.path.join(scratch, "lake"))
+    arrived = 0
+
+    def arrive():
+        nonlocal arrived
+        arrived += 1
+        _write(os.path.join(land, f"{arrived}.json"), [
+            _like("same", "u1", "one", "2026-01-01T10:00:00+00:00"),
+            _like(f"l{arrived}", f"u{arrived}", f"name{arrived}", f"2026-01-{arrived:02d}T10:00:00+00:00"),
+        ])
+        # A checkpoint of its own for each arrival: ids repeat across batches.
+        q = start_ingest(file_messages(spark, os.path.join(land, f"{arrived}.json*")), lake.path("bronze"),
+                         lake.path(f"_ck{arrived}"), trigger={"availableNow": True})
+        q.awaitTermination()
+        assert q.exception() is None
+
+    arrive()
+    lake.build_silver()
+    for step in ("_write_bounds", "_write_progress", "_write_curated", "_delete"):
+        arrive()
+        with monkeypatch.context() as m:
+            done = getattr(lake, step)
+
+            def then_fail(*args, **kwargs):
+                done(*args, **kwargs)
+                if step == "_write_curated":  # an overwrite that fails has already removed its table
+                    lake._delete(lake.path("silver", "user_dim"))
+                raise RuntimeError("lost")
+
+            m.setattr(lake, step, then_fail)
+            with pytest.raises(RuntimeError):
+                lake.update_silver()
+        assert lake.update_silver() is (step != "_delete")
+        assert lake.update_silver() is False
+        assert lake._children(lake.path("silver", "_staging")) == []
+        assert lake.curated().where("event_id = 'same'").count() == arrived
+    updated = _snapshot(lake)
+    lake.build_silver()
+    assert _snapshot(lake) == updated
+    assert updated[3][2] == 2 * arrived
+
+
+def test_catalog_shows_committed_batches_only(spark, scratch):
+    from ripplecast.plans.lakehouse import register_catalog
+    from ripplecast.streaming.ingest import batch_folder
+
+    land = os.path.join(scratch, "landing")
+    os.makedirs(land)
+    lake = Lakehouse(spark, os.path.join(scratch, "lake"))
+    _write(os.path.join(land, "1.json"), [_like("a1", "u1", "one", "2026-01-01T10:00:00+00:00")])
+    q = start_ingest(file_messages(spark, land), lake.path("bronze"), lake.path("_ck"), trigger={"availableNow": True})
+    q.awaitTermination()
+    torn = batch_folder(lake.path("bronze"), "torn", 7)
+    lake.bronze().write.parquet(torn)
+    os.remove(os.path.join(torn, "_SUCCESS"))
+
+    def rows():
+        assert "cat_bronze.raw_events" in register_catalog(lake, "cat_")
+        return spark.sql("SELECT count(*) FROM cat_bronze.raw_events").first()[0]
+
+    assert rows() == 1
+    open(os.path.join(torn, "_SUCCESS"), "w").close()
+    assert rows() == 2
+    os.remove(os.path.join(torn, "_SUCCESS"))
+    assert rows() == 1
+    spark.sql("DROP DATABASE cat_bronze CASCADE")
+
+
 def test_bronze_read_sees_new_batches_after_update(spark, scratch):
     lake = Lakehouse(spark, os.path.join(scratch, "lake"))
     land = os.path.join(scratch, "landing")
