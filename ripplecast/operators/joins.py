@@ -9,7 +9,8 @@ in a left join every fact row with a NULL key hashes to one task too. AQE's
 skew join splits such partitions only in some plan shapes (measured: the first
 join of a chain, not the later ones), so the split is done explicitly:
 
-1. one partial aggregation counts the fact keys (NULL is a key here);
+1. one partial aggregation counts the fact keys (NULL is a key here), for all the
+   joins of a chain in one pass over the input (`heavy_keys`), written once;
 2. every key holding more than a split's rows gets `ceil(count / rows)` splits,
    where a split is `rows_per_split` rows or, on larger input, 1/50,000 of all
    rows. So at most 50,000 keys can be heavy: a proven bound, so that table is
@@ -29,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ripplecast.plans.lineage import cut_lineage
 
 #: Most keys that can hold more than a split's rows.
 MAX_HEAVY_KEYS = 50_000
@@ -48,6 +50,24 @@ def broadcast_threshold(df: DataFrame) -> int:
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(raw))
 
 
+def heavy_keys(fact: DataFrame, keys: tuple[str, ...], rows_per_split: int = 2_000_000) -> dict[str, DataFrame]:
+    """For each string column of `keys`: its values (NULL too) of more than a split's rows,
+    as `__hk`, `__splits`. Written once, so that joins after it don't repeat the count."""
+    each = F.array(*[F.struct(F.lit(k).alias("__col"), F.col(k).alias("__hk")) for k in keys])
+    counts = fact.select(F.explode(each).alias("e")).groupBy("e.__col", "e.__hk").agg(F.count(F.lit(1)).alias("__n"))
+    total = fact.agg(F.count(F.lit(1))).scalar()
+    rows = F.greatest(F.lit(rows_per_split), F.ceil(total / F.lit(MAX_HEAVY_KEYS)))
+    heavy = counts.where(F.col("__n") > rows).select(
+        "__col", "__hk", F.ceil(F.col("__n") / rows).cast("long").alias("__splits")
+    )
+    heavy = cut_lineage(heavy)
+    return {k: heavy.where(F.col("__col") == k).select("__hk", "__splits") for k in keys}
+
+
+def fits_broadcast(dim: DataFrame) -> bool:
+    return 0 <= estimated_size_bytes(dim) <= broadcast_threshold(dim)
+
+
 def lookup_left_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -56,19 +76,15 @@ def lookup_left_join(
     salt_col: str,
     rows_per_split: int = 2_000_000,
     force_split: bool = False,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """`fact LEFT JOIN dim ON fact[fact_key] = dim[dim_key]`; `dim_key` must be
-    unique in `dim` and its column names must not clash with `fact`'s."""
-    limit = broadcast_threshold(fact)
-    if not force_split and 0 <= estimated_size_bytes(dim) <= limit:
-        return fact.join(dim, fact[fact_key] == dim[dim_key], "left")
-
-    counts = fact.groupBy(F.col(fact_key).alias("__hk")).agg(F.count(F.lit(1)).alias("__n"))
-    total = fact.agg(F.count(F.lit(1))).scalar()
-    rows = F.greatest(F.lit(rows_per_split), F.ceil(total / F.lit(MAX_HEAVY_KEYS)))
-    heavy = counts.where(F.col("__n") > rows).select(
-        "__hk", F.ceil(F.col("__n") / rows).cast("long").alias("__splits")
-    )
+    unique in `dim` and its column names must not clash with `fact`'s. `heavy` is
+    the fact key's table of `heavy_keys`, where it is known already."""
+    if heavy is None:
+        if not force_split and fits_broadcast(dim):
+            return fact.join(dim, fact[fact_key] == dim[dim_key], "left")
+        heavy = heavy_keys(fact, (fact_key,), rows_per_split)[fact_key]
     tagged = fact.join(F.broadcast(heavy), fact[fact_key].eqNullSafe(F.col("__hk")), "left")
     salted_fact = tagged.select(
         *[F.col(c) for c in fact.columns],

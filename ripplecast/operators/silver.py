@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplecast.operators.joins import lookup_left_join
+from ripplecast.operators.joins import fits_broadcast, heavy_keys, lookup_left_join
 from ripplecast.schema import CURATED_COLUMNS
 
 
@@ -113,10 +113,17 @@ def curated_events(
     post_info = posts.select(
         F.col("post_id").alias("dim_post_id"), F.col("user_id").alias("creator_id"), F.col("hashtag").alias("post_tag")
     )
-    opts = dict(salt_col="event_id", rows_per_split=rows_per_split, force_split=force_split)
-    joined = lookup_left_join(events, actors, "user_id", "actor_id", **opts)
-    joined = lookup_left_join(joined, targets, "target_user_id", "target_id", **opts)
-    joined = lookup_left_join(joined, post_info, "post_id", "dim_post_id", **opts)
+    lookups = (
+        (actors, "user_id", "actor_id"),
+        (targets, "target_user_id", "target_id"),
+        (post_info, "post_id", "dim_post_id"),
+    )
+    large = tuple(key for dim, key, _ in lookups if force_split or not fits_broadcast(dim))
+    # Counted over the input before any join: the joins below each read their fact once.
+    heavy = heavy_keys(events, large, rows_per_split) if large else {}
+    joined = events
+    for dim, key, dim_key in lookups:
+        joined = lookup_left_join(joined, dim, key, dim_key, salt_col="event_id", heavy=heavy.get(key))
     out = joined.select(
         "event_id",
         "event_type",

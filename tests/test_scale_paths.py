@@ -53,11 +53,14 @@ def test_split_lookup_joins_equal_broadcast_joins(spark, scratch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         split = curated_events(bronze, users, posts, rows_per_split=5000, force_split=True)
+        planned = split._jdf.queryExecution().sparkPlan().toString().splitlines()
         rows = split.collect()
         plan = split._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "xxhash64" in plan
+    assert sum("SortMergeJoin" in x for x in planned) == 3
+    assert sum("FileScan" in x and "event_id" in x for x in planned) == 1  # heavy keys are counted before
     assert sorted(map(tuple, rows)) == sorted(map(tuple, expected.collect()))
     assert len(rows) == 60000
 
