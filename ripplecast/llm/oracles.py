@@ -135,3 +135,23 @@ SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesc
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN written USING (doc_id)
 """
+
+#: Operator 12: every line with its key; the least document of each key.
+LINE_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), lines AS (
+  SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM d
+), keyed AS (
+  SELECT doc_id, p, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), least_id AS (
+  SELECT key, min(doc_id) AS least FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS text, count(*) AS n
+  FROM keyed LEFT JOIN least_id USING (key) WHERE coalesce(doc_id <= least, true) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, len(l) - coalesce(n, 0) AS n_dropped,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -10,6 +10,7 @@ from ripplecast.llm import decontamination, oracles
 from ripplecast.llm.decontamination import op3_benchmark_decontamination
 from ripplecast.llm.fm_dedup import op5_substring_dedup
 from ripplecast.llm.jaccard_join import op8_jaccard_join
+from ripplecast.llm.line_dedup import op12_line_dedup
 from ripplecast.llm.lpf_dedup import op9_suffix_array_dedup
 from ripplecast.llm.nbsvm import op2_quality_classifier
 from ripplecast.llm.packing import op6_best_fit_packing
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 #: The others train a model, tokenise or iterate: tests/llm holds them against brute force or held-out labels.
@@ -38,4 +40,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_jaccard_join": oracles.JACCARD_JOIN,
     "op9_suffix_array_dedup": oracles.SUFFIX_ARRAY_DEDUP,
     "op10_secret_scan": oracles.SECRET_SCAN,
+    "op12_line_dedup": oracles.LINE_DEDUP,
 }
