@@ -450,11 +450,12 @@ def repair_conversations(
     gaps = wide[0] - wide[1] + 1 - wide[2]
     gaps = F.when(gaps > LONG, F.lit(LONG)).otherwise(gaps.cast("long"))
     empty = hashlib.sha256(b"").hexdigest()
+    kept = F.coalesce("kept", F.lit("")) if keep_text else F.lit(None).cast("string")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     return found.select(
         "conv_id", F.coalesce(gaps, F.lit(0)).alias("gaps"), zero("blank"), zero("duplicate"), zero("truncated"),
         zero("illegal"), zero("cost"), F.coalesce("audit", F.lit("")).alias("audit"),
-        F.coalesce("sha", F.lit(empty)).alias("repaired_sha256"), F.col("kept").alias("repaired"),
+        F.coalesce("sha", F.lit(empty)).alias("repaired_sha256"), kept.alias("repaired"),
     )
 
 

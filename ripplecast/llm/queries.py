@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ripplecast.llm import decontamination, oracles
+from ripplecast.llm.alignment import op11_token_alignment
 from ripplecast.llm.conversations import op13_conversation_repair
 from ripplecast.llm.decontamination import op3_benchmark_decontamination
 from ripplecast.llm.fm_dedup import op5_substring_dedup
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_token_alignment": op11_token_alignment,
     "op12_line_dedup": op12_line_dedup,
     "op13_conversation_repair": op13_conversation_repair,
 }
