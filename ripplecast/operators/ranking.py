@@ -20,12 +20,12 @@ from ripplecast.plans.lineage import cut_lineage
 ROWS_PER_PARTITION = 1_000_000
 
 
-def range_partitions(df: DataFrame, num_partitions: int | None = None) -> int:
-    """Number of range partitions: given, else one per `ROWS_PER_PARTITION` counted
-    rows (estimates are unreliable behind joins and explodes)."""
-    if num_partitions:
-        return int(num_partitions)
-    return max(1, -(-df.count() // ROWS_PER_PARTITION))
+def range_partitioned(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
+    """`df` in range partitions of `order`: as many as given, else one per `ROWS_PER_PARTITION`
+    rows. The input is computed once, written, and counted and sampled from there."""
+    frozen = cut_lineage(df)
+    n = int(num_partitions) if num_partitions else max(1, -(-frozen.count() // ROWS_PER_PARTITION))
+    return frozen.repartitionByRange(n, *order)
 
 
 def global_row_number(
@@ -39,9 +39,8 @@ def global_row_number(
     `order` must be a total order (end it with a unique column), otherwise
     ties are numbered in an arbitrary but valid way.
     """
-    n = range_partitions(df, num_partitions)
     # Range partition + sort inside each partition: partition ids follow the order.
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = range_partitioned(df, order, num_partitions).sortWithinPartitions(*order)
     # monotonically_increasing_id = (partition id << 33) + position in the
     # partition's (sorted) iteration order.
     numbered = ranged.select(
@@ -80,8 +79,7 @@ def global_running_sum(
     balanced task), and offsets from one row per partition (bounded, broadcast)
     shift the partitions. No key or time bucket is ever gathered into one task.
     """
-    n = range_partitions(df, num_partitions)
-    ranged = df.select("*", value.alias("__v")).repartitionByRange(n, *order)
+    ranged = range_partitioned(df.select("*", value.alias("__v")), order, num_partitions)
     frozen = cut_lineage(ranged.select("*", F.spark_partition_id().alias("__pid")))
     w = Window.partitionBy("__pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = frozen.select("*", F.sum("__v").over(w).alias("__local"))
