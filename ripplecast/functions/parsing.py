@@ -41,8 +41,10 @@ def utc_timestamp(text: Column, session_tz: str = "UTC") -> Column:
 TRACE_COLUMNS: tuple[str, ...] = ("topic", "partition", "offset")
 
 
-def parse_messages(messages: DataFrame, value_col: str = "value", keep_value: bool = False) -> DataFrame:
-    """`value` → 14 flat string columns (+ `_corrupt_record`).
+def parse_messages(
+    messages: DataFrame, value_col: str = "value", keep_value: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """`value` → 14 flat string columns (+ `_corrupt_record`); columns named in `carry` stay.
 
     With `keep_value` the raw text is kept as `value`, together with the Kafka
     record coordinates (`topic`, `partition`, `offset`) when the source has them.
@@ -58,7 +60,7 @@ def parse_messages(messages: DataFrame, value_col: str = "value", keep_value: bo
     message is parsed exactly once per row. Works the same on streams.
     """
     text = decode_value(F.col(value_col))
-    trace = [c for c in TRACE_COLUMNS if keep_value and c in messages.columns]
+    trace = [c for c in TRACE_COLUMNS if keep_value and c in messages.columns] + list(carry)
     parsed = messages.select(
         *trace,
         *([text.alias(value_col)] if keep_value else []),

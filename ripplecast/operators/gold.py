@@ -302,14 +302,24 @@ def viral_posts_any_window(
     likes do not exceed the threshold cannot qualify and are pruned exactly
     first (a hot post is split by `lookup_left_join`).
     """
-    width_us = int(window_minutes) * 60 * 1_000_000
-    likes = curated.where(
+    return peak_rows(like_peaks(like_times(curated), window_minutes, threshold), window_minutes)
+
+
+def like_times(events: DataFrame) -> DataFrame:
+    """(post_id, t, rid): the time of every like in microseconds, with its event id."""
+    return events.where(
         (F.col("event_type") == "like") & F.col("post_id").isNotNull() & F.col("event_timestamp").isNotNull()
     ).select(
         "post_id",
         F.timestamp_diff("MICROSECOND", _epoch(), F.col("event_timestamp")).alias("t"),
         F.coalesce(F.col("event_id"), F.lit("")).alias("rid"),
     )
+
+
+def like_peaks(likes: DataFrame, window_minutes: int, threshold: int) -> DataFrame:
+    """(post_id, like_count, end_us) of `like_times` rows: the peak of every post above
+    `threshold` and the earliest like time that reaches it (see `viral_posts_any_window`)."""
+    width_us = int(window_minutes) * 60 * 1_000_000
     totals = (
         likes.groupBy(F.col("post_id").alias("__tp"))
         .agg(F.count(F.lit(1)).alias("__total"))
@@ -339,12 +349,16 @@ def viral_posts_any_window(
             "cnt"
         )
     )
-    per_post = framed.where(F.col("cnt") > threshold).groupBy("post_id").agg(
+    return framed.where(F.col("cnt") > threshold).groupBy("post_id").agg(
         F.max("cnt").alias("like_count"),
         F.min_by("t0", F.struct(-F.col("cnt"), F.col("t0"))).alias("end_us"),
     )
+
+
+def peak_rows(peaks: DataFrame, window_minutes: int) -> DataFrame:
+    """Result columns of `like_peaks` rows."""
     end_ts = F.timestamp_add("MICROSECOND", F.col("end_us"), _epoch())
-    return per_post.select(
+    return peaks.select(
         "post_id",
         F.col("like_count").cast("long").alias("like_count"),
         F.lit(int(window_minutes)).cast("long").alias("window_minutes"),

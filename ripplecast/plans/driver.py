@@ -35,6 +35,11 @@ STREAM_ALERT_SLIDE_MINUTES = DAY
 STREAM_WATERMARK = "1 day"
 ANY_WINDOW_THRESHOLD = 10
 TREND_BUCKET_MINUTES = DAY
+SESSION_GAP = DAY
+#: Log segments that late messages of the disordered topic lie behind, of STREAM_DEMO_BATCHES; segments
+#: arrive an hour apart, and recent ids are kept for less than that distance.
+LATE_SEGMENTS = 5
+RECENT_IDS_TTL = "90 minutes"
 
 _LAKES: dict[tuple[str, str], Lakehouse] = {}
 
@@ -88,7 +93,7 @@ def stream_bronze(
 
     lake = driver_lake(spark, sf_dir, "landing")
     if max_files_per_trigger == -1:
-        max_files_per_trigger = files_per_trigger(spark, lake.path("landing"))
+        max_files_per_trigger = files_per_trigger(spark, _in_arrival_order(spark, lake.path("landing")))
     tag = f"{dedup}-{max_files_per_trigger or 'all'}"
     root = lake.path("stream", tag)
     query = start_ingest(
@@ -120,31 +125,156 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, root + "/out", columns=columns, schema=", ".join(f"{c} string" for c in columns))
 
 
-def _run_stream_to_completion(stream: DataFrame, root: str, columns, schema) -> DataFrame:
+def _run_stream_to_completion(stream: DataFrame, root: str, columns, schema, prepare=None) -> DataFrame:
     from ripplecast.streaming.analytics import start_append
     from ripplecast.streaming.ingest import read_batches
 
     spark = stream.sparkSession
-    query = start_append(stream, root + "/out", root + "/_checkpoint", trigger={"availableNow": True})
+    query = start_append(stream, root + "/out", root + "/_checkpoint", {"availableNow": True}, prepare)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return read_batches(spark, root + "/out", columns=columns, schema=schema)
 
 
+def _in_arrival_order(spark: SparkSession, path: str) -> str:
+    """Give the segments of a landing folder file times in their order, an hour between micro-batches: tasks
+    write them at the same time, but a file stream takes them, and `two_tier.arrivals` dates them, by file time."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = _data_files(spark, path)
+    per = files_per_trigger(spark, path)
+    for i, name in enumerate(files):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), 1_700_000_000_000 + i // per * 3_600_000 + i % per * 1000, -1)
+    return path
+
+
+def disordered_landing(spark: SparkSession, sf_dir: str) -> str:
+    """A second landing folder with the same messages in disorder: late events and copies arrive
+    `LATE_SEGMENTS` segments behind their place. The file times tell the arrival."""
+    from ripplecast.plans.lakehouse import is_complete
+
+    lake = driver_lake(spark, sf_dir, "landing")
+    path = lake.path("landing_disordered")
+    if not is_complete(spark, path):
+        events = spark.read.parquet(f"{sf_dir}/events.parquet").count()  # footer metadata
+        late_by = max(1, events * LATE_SEGMENTS // STREAM_DEMO_BATCHES)
+        messages = driver_messages(spark, sf_dir, landing_segments(spark, sf_dir), late_by)
+        messages.write.mode("overwrite").text(path)
+    return _in_arrival_order(spark, path)
+
+
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def two_tier_root(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze and rejects of the disordered topic by the two-tier ingest, over about 8 micro-batches."""
+    from ripplecast.streaming.two_tier import arrivals, start_two_tier
+
+    path = disordered_landing(spark, sf_dir)
+    root = driver_lake(spark, sf_dir, "landing").path("stream", "two-tier")
+    messages = arrivals(spark, path, files_per_trigger(spark, path))
+    _finish(start_two_tier(messages, root, root + "/_checkpoint", ttl=RECENT_IDS_TTL, trigger={"availableNow": True}))
+    return root
+
+
+def stream_dedup_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ripplecast.streaming.two_tier import read_bronze
+
+    return read_bronze(spark, two_tier_root(spark, sf_dir))
+
+
+def stream_rejects_two_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ripplecast.streaming.two_tier import read_rejects
+
+    return read_rejects(spark, two_tier_root(spark, sf_dir))
+
+
+def stream_dimension(dimension: str):
+    """The dimension from the disordered topic: late events correct rows of earlier micro-batches."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from ripplecast.streaming.dimensions import read_dimension, start_dimension
+        from ripplecast.streaming.ingest import file_messages
+
+        path = disordered_landing(spark, sf_dir)
+        root = driver_lake(spark, sf_dir, "landing").path("stream", dimension)
+        messages = file_messages(spark, path, files_per_trigger(spark, path))
+        _finish(start_dimension(messages, dimension, root + "/out", root + "/_checkpoint", {"availableNow": True}))
+        return read_dimension(spark, root + "/out", dimension)
+
+    return run
+
+
+def stream_viral_any_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact peaks of the disordered topic, over four micro-batches."""
+    from ripplecast.session import session_time_zone
+    from ripplecast.streaming.ingest import clean_stream, file_messages
+    from ripplecast.streaming.viral import read_peaks, start_peaks
+
+    path = disordered_landing(spark, sf_dir)
+    root = driver_lake(spark, sf_dir, "landing").path("stream", "viral-any-window")
+    messages = file_messages(spark, path, 2 * files_per_trigger(spark, path))
+    events = clean_stream(messages, session_tz=session_time_zone(spark))
+    done = start_peaks(
+        events, root, root + "/_checkpoint", ANY_WINDOW_MINUTES, ANY_WINDOW_THRESHOLD, {"availableNow": True}
+    )
+    _finish(done)
+    return read_peaks(spark, root, ANY_WINDOW_MINUTES)
+
+
+def _clean_in_order(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The ingested stream of the landing folder, over four micro-batches, and the session's time zone."""
+    from ripplecast.session import session_time_zone
+    from ripplecast.streaming.ingest import clean_stream, file_messages
+
+    path = _in_arrival_order(spark, driver_lake(spark, sf_dir, "landing").path("landing"))
+    tz = session_time_zone(spark)
+    return clean_stream(file_messages(spark, path, 2 * files_per_trigger(spark, path)), session_tz=tz), tz
+
+
+def stream_user_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that the final watermark has closed, from the ingested stream."""
+    from ripplecast.streaming.analytics import user_sessions
+
+    events, tz = _clean_in_order(spark, sf_dir)
+    return _run_stream_to_completion(
+        user_sessions(events, SESSION_GAP, STREAM_WATERMARK, tz),
+        driver_lake(spark, sf_dir, "landing").path("stream", "user-sessions"),
+        ("user_id", "session_start", "session_end", "event_count"),
+        "user_id string, session_start timestamp_ntz, session_end timestamp_ntz, event_count bigint",
+    )
+
+
+def stream_trending_hashtags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 10 hashtags of every closed window of 5 days, a window a day."""
+    from ripplecast.streaming.analytics import hashtag_counts, top_per_window
+
+    events, tz = _clean_in_order(spark, sf_dir)
+    counts = hashtag_counts(events, DRIVER_GOLD.viral_window_minutes, STREAM_WATERMARK, tz, STREAM_ALERT_SLIDE_MINUTES)
+    return _run_stream_to_completion(
+        counts,
+        driver_lake(spark, sf_dir, "landing").path("stream", "trending"),
+        ("window_start", "window_end", "hashtag", "event_count", "rank"),
+        "window_start timestamp_ntz, window_end timestamp_ntz, hashtag string, event_count bigint, rank bigint",
+        prepare=lambda df: top_per_window(df, DRIVER_GOLD.trending_top_n),
+    )
+
+
 def stream_viral_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming viral alerts over the landing folder: ingest (parse, validate,
     exact dedup) → likes per post in sliding windows of 5 days every day with a
     1-day watermark, append mode, run to completion and read back. Windows that
     close by the final watermark are emitted."""
-    from ripplecast.session import session_time_zone
     from ripplecast.streaming.analytics import viral_alerts
-    from ripplecast.streaming.ingest import clean_stream, file_messages
 
     lake = driver_lake(spark, sf_dir, "landing")
-    tz = session_time_zone(spark)
+    events, tz = _clean_in_order(spark, sf_dir)
     alerts = viral_alerts(
-        clean_stream(file_messages(spark, lake.path("landing")), session_tz=tz),
+        events,
         window_minutes=DRIVER_GOLD.viral_window_minutes,
         slide_minutes=STREAM_ALERT_SLIDE_MINUTES,
         threshold=DRIVER_GOLD.viral_threshold,
@@ -162,14 +292,12 @@ def stream_viral_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_hashtag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming hashtag counts per 1-day tumbling window (1-day watermark,
     append mode) over the ingested stream, run to completion and read back."""
-    from ripplecast.session import session_time_zone
     from ripplecast.streaming.analytics import hashtag_counts
-    from ripplecast.streaming.ingest import clean_stream, file_messages
 
     lake = driver_lake(spark, sf_dir, "landing")
-    tz = session_time_zone(spark)
+    events, tz = _clean_in_order(spark, sf_dir)
     counts = hashtag_counts(
-        clean_stream(file_messages(spark, lake.path("landing")), session_tz=tz),
+        events,
         bucket_minutes=TREND_BUCKET_MINUTES,
         watermark_delay=STREAM_WATERMARK,
         session_tz=tz,

@@ -9,7 +9,12 @@ topic, with faults seeded by fixed rules on the event id (`seq`):
 * every row with ``seq % 50 == 7`` loses its closing brace (malformed JSON),
 * ``seq % 97 == 0`` has no user, ``k >= 97``/``k >= 98`` miss targets/posts,
   ``seq % 41 == 0`` comments miss their text, ``error`` with ``k % 4 == 0``
-  gets an unknown type.
+  gets an unknown type,
+* ``seq % 89 == 3`` has no event id, ``seq % 83 == 5`` no time, ``seq % 79 == 4``
+  a time that is none.
+
+The attributes of a user or post change from event to event (name, country, creation
+time, tag), so a dimension built from any other than the first event differs.
 
 All rows are kept: nothing is filtered, sampled or capped. The plan is map-only
 (one broadcast of the 25-row nation table); it scales with `events`.
@@ -51,7 +56,7 @@ def social_rows(events: DataFrame, nation: DataFrame) -> DataFrame:
     """Driver rows → social event fields (strings; timestamps as ISO text)."""
     nation_small = nation.select(F.col("n_nationkey").alias("_nk"), F.col("n_name").alias("_country"))
     ev = events.select("event_id", "ts", "user_id", "event_type", "props").join(
-        nation_small, F.pmod(F.col("user_id"), F.lit(25)) == F.col("_nk"), "left"
+        nation_small, F.pmod(F.col("user_id") + F.col("event_id") % 3, F.lit(25)) == F.col("_nk"), "left"
     )
     seq = F.col("event_id")
     uid = F.col("user_id")
@@ -76,16 +81,17 @@ def social_rows(events: DataFrame, nation: DataFrame) -> DataFrame:
     targeted = t.isin("follow", "profile_visit")
     target_n = F.pmod(u + 1 + kk, F.lit(15))
     creator_n = F.pmod(kk, F.lit(15))
+    tag_n = F.pmod(kk + s % 2, F.lit(15))
     texts = comment_texts()
     return staged.select(
         F.col("seq"),
-        _str_id("e", s).alias("event_id"),
+        F.when(s % 89 != 3, _str_id("e", s)).alias("event_id"),
         t.alias("event_type"),
         F.when(s % 97 != 0, _str_id("user_", u)).alias("user_id"),
-        _str_id("name_", u).alias("username"),
+        F.concat(_str_id("name_", u), F.lit("_"), (s % 4).cast("string")).alias("username"),
         F.col("_country").alias("country"),
         F.date_format(
-            F.date_add(F.make_date(F.lit(2023), F.lit(1), F.lit(1)), F.pmod(u, F.lit(365)).cast("int")).cast(
+            F.date_add(F.make_date(F.lit(2023), F.lit(1), F.lit(1)), F.pmod(u + s % 7, F.lit(365)).cast("int")).cast(
                 "timestamp_ntz"
             ),
             TS_SECONDS_FORMAT,
@@ -107,14 +113,14 @@ def social_rows(events: DataFrame, nation: DataFrame) -> DataFrame:
                 TS_SECONDS_FORMAT,
             ),
         ).alias("post_created_at"),
-        F.when(~targeted, F.element_at(F.array(*[F.lit(h) for h in HASHTAGS]), (creator_n + 1).cast("int"))).alias(
-            "hashtag"
-        ),
+        F.when(~targeted, F.element_at(F.array(*[F.lit(h) for h in HASHTAGS]), (tag_n + 1).cast("int"))).alias("hashtag"),
         F.when(
             (t == "comment") & (s % 41 != 0),
             F.element_at(F.array(*[F.lit(x) for x in texts]), (F.pmod(s, F.lit(len(texts))) + 1).cast("int")),
         ).alias("comment_text"),
-        F.date_format(F.col("ts"), TS_MICROS_FORMAT).alias("timestamp"),
+        F.when(s % 79 == 4, F.lit("not a time"))
+        .when(s % 83 != 5, F.date_format(F.col("ts"), TS_MICROS_FORMAT))
+        .alias("timestamp"),
     )
 
 
@@ -122,13 +128,17 @@ def social_rows(events: DataFrame, nation: DataFrame) -> DataFrame:
 REDELIVERY_LAG = 37
 
 
-def social_messages(events: DataFrame, nation: DataFrame, segments: int | None = None) -> DataFrame:
+def social_messages(
+    events: DataFrame, nation: DataFrame, segments: int | None = None, late_by: int | None = None
+) -> DataFrame:
     """One row per message on the topic: column `value` (JSON text).
 
     With `segments`, the topic is laid out as that many log segments in
     arrival order (range partitions of the arrival position); a redelivered
     copy arrives `REDELIVERY_LAG` messages after its original, so some copies
-    fall into a later segment (and a later micro-batch)."""
+    fall into a later segment (and a later micro-batch). With `late_by`, the same
+    messages arrive in disorder: every thirteenth, and every other copy, that many
+    positions later."""
     rows = social_rows(events, nation)
     fields = [c for c in rows.columns if c != "seq"]
     payload = F.to_json(F.struct(*[F.col(c) for c in fields]))
@@ -138,6 +148,9 @@ def social_messages(events: DataFrame, nation: DataFrame, segments: int | None =
     msgs = rows.select(s, payload.alias("_json")).select(s, value.alias("value"), copies.alias("copy"))
     if segments:
         arrival = F.col("seq") + F.col("copy") * F.lit(REDELIVERY_LAG)
+        if late_by:
+            late = (s % 13 == 5) | ((F.col("copy") == 1) & (s % 40 == 0))
+            arrival = arrival + F.when(late, F.lit(late_by)).otherwise(F.lit(0))
         msgs = msgs.repartitionByRange(segments, arrival, F.col("copy"))
     return msgs.select("value")
 
@@ -148,6 +161,8 @@ def read_driver_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     return events, nation
 
 
-def driver_messages(spark: SparkSession, sf_dir: str, segments: int | None = None) -> DataFrame:
+def driver_messages(
+    spark: SparkSession, sf_dir: str, segments: int | None = None, late_by: int | None = None
+) -> DataFrame:
     events, nation = read_driver_tables(spark, sf_dir)
-    return social_messages(events, nation, segments)
+    return social_messages(events, nation, segments, late_by)

@@ -17,7 +17,9 @@ pre-counted per input partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -72,21 +74,51 @@ def hashtag_counts(
     bucket_minutes: int = 60,
     watermark_delay: str = "10 minutes",
     session_tz: str = "UTC",
+    slide_minutes: int | None = None,
 ) -> DataFrame:
-    """(hashtag, window_start, window_end, event_count) per tumbling window."""
+    """(hashtag, window_start, window_end, event_count) per tumbling window, or per sliding one."""
     tagged = _event_time(events, session_tz).where(F.col("hashtag").isNotNull() & F.col("event_time").isNotNull())
     if tagged.isStreaming:
         tagged = tagged.withWatermark("event_time", watermark_delay)
-    counts = tagged.groupBy(F.window("event_time", f"{int(bucket_minutes)} minutes").alias("w"), "hashtag").agg(
+    slide = int(slide_minutes or bucket_minutes)
+    window = F.window("event_time", f"{int(bucket_minutes)} minutes", f"{slide} minutes").alias("w")
+    counts = tagged.groupBy(window, "hashtag").agg(
         F.count(F.lit(1)).alias("event_count")
     )
     return counts.select("hashtag", *_window_bounds(session_tz), "event_count")
 
 
-def start_append(stream: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Write closed windows with the idempotent per-batch sink."""
+def top_per_window(counts: DataFrame, top: int = 10) -> DataFrame:
+    """The `top` hashtags of every window of `hashtag_counts`, ties by hashtag. In append mode all counts of
+    a window are emitted in the one micro-batch in which it closes, so as the sink's `prepare`
+    this ranks whole windows; the ranking is pruned to `top` rows per task before the exchange."""
+    order = Window.partitionBy("window_start").orderBy(F.desc("event_count"), "hashtag")
+    ranked = counts.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    return ranked.select("window_start", "window_end", "hashtag", "event_count", "rank")
+
+
+def user_sessions(
+    events: DataFrame, gap_minutes: int = 30, watermark_delay: str = "10 minutes", session_tz: str = "UTC"
+) -> DataFrame:
+    """(user_id, session_start, session_end, event_count) of every session that the watermark has closed;
+    session_end is the last event's time, as in `operators.activity.user_activity_sessions`."""
+    timed = _event_time(events, session_tz).where(F.col("user_id").isNotNull() & F.col("event_time").isNotNull())
+    if timed.isStreaming:
+        timed = timed.withWatermark("event_time", watermark_delay)
+    sessions = timed.groupBy(F.session_window("event_time", f"{int(gap_minutes)} minutes").alias("w"), "user_id").agg(
+        F.count(F.lit(1)).alias("event_count"), F.max("event_timestamp").alias("session_end")
+    )
+    start = _window_bounds(session_tz)[0].alias("session_start")
+    return sessions.select("user_id", start, "session_end", "event_count")
+
+
+def start_append(
+    stream: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> StreamingQuery:
+    """Write closed windows (through `prepare`) with the idempotent per-batch sink."""
     return (
-        stream.writeStream.foreachBatch(idempotent_batch_sink(out_path))
+        stream.writeStream.foreachBatch(idempotent_batch_sink(out_path, prepare))
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "0 seconds"}))
