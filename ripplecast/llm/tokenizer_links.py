@@ -28,7 +28,7 @@ STABLE = re.compile(f"[{chr(0)}-{chr(0x24F)}]*\\Z")
 #: Stands for a space in pieces.
 META = chr(0x2581)
 #: Distinct units that a worker process keeps, and the longest unit of the fast encoder.
-CACHE_UNITS, LONG_UNIT = 300_000, 500
+CACHE_UNITS, LONG_UNIT = 200_000, 500
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -128,8 +128,9 @@ class UnitLinks:
         self.spaced: dict[str, int] = {}
         self.bare: dict[str, int] = {}
         self.text: list[bytes] = []
-        self._sizes, self._starts = [np.zeros((4, 0), np.int64)], [np.zeros(1, np.int64)]
-        self._links = [np.zeros(0, np.uint64)]
+        self._done = np.zeros((4, 0), np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint64)
+        self._sizes: list[tuple[int, int, int, int]] = []  # of units since `_done`
+        self._links: list[int] = []
 
     def __len__(self) -> int:
         return len(self.text)
@@ -155,11 +156,13 @@ class UnitLinks:
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per unit (A tokens, B tokens, groups, sound), where its links start, and all links (A id << 32 | B id)."""
-        if len(self._sizes) > 1:
-            self._sizes = [np.concatenate(self._sizes, axis=1)]
-            self._links = [np.concatenate(self._links)]
-            self._starts = [np.append(0, np.cumsum(self._sizes[0][2]))]
-        return self._sizes[0], self._starts[0], self._links[0]
+        if self._sizes:
+            sizes, _, links = self._done
+            sizes = np.concatenate([sizes, np.array(self._sizes, np.int64).T], axis=1)
+            links = np.concatenate([links, np.array(self._links, np.uint64)])
+            self._done = sizes, np.append(0, np.cumsum(sizes[2])), links
+            self._sizes, self._links = [], []
+        return self._done
 
     def _learn(self, spaced: set[str], bare: set[str]) -> None:
         clean = [u for u in spaced if len(u) <= LONG_UNIT and self._clean.match(u)]
@@ -177,10 +180,32 @@ class UnitLinks:
                     where[u] = len(self.text) - 1
 
     def _enter_one(self, unit: str) -> None:
-        size = np.array([len(unit.encode())])
-        if not self._enter(unit, self.a.encode(unit, len(unit) <= LONG_UNIT), self.b.encode_bare(unit), size):
-            self._sizes.append(np.zeros((4, 1), np.int64))
+        """One unit by itself: its two token lists are walked side by side."""
+        a, b = self.a.encode(unit, len(unit) <= LONG_UNIT), self.b.encode_bare(unit)
+        bytes_a, bytes_b, body = self.a.bytes, self.b.bytes, unit.encode()
+        if b"".join([bytes_a[i] for i in a]) != body or b"".join([bytes_b[i] for i in b]) != body:
+            self._sizes.append((0, 0, 0, 0))
             self.text.append(b"")
+            return
+        parts, group, links = [], [], 0
+        ends, at, end, other = iter(b), 0, 0, 0
+        for i in a:
+            at += len(bytes_a[i])
+            while end < at:
+                other = next(ends)
+                end += len(bytes_b[other])
+                group.append(other)
+            # B's tokens of the group so far end at or behind A's token.
+            if end == at:
+                parts.append(self._last_a[i])
+                parts += [self._inner[x] for x in group[:-1]]
+                parts.append(self._last_b[other])
+                self._links.append(i << 32 | other)
+                group, links = [], links + 1
+            else:
+                parts.append(self._inner[i])
+        self._sizes.append((len(a), len(b), links, 1))
+        self.text.append(b"".join(parts)[:-1])
 
     def _enter(self, whole: str, a: list[int], b: list[int], ends: np.ndarray) -> bool:
         """The units of `whole`, which end at byte offsets `ends`; False where the tokens' bytes differ."""
@@ -197,8 +222,8 @@ class UnitLinks:
         unit_a, unit_b, unit = (np.searchsorted(ends, x) for x in (end_a, end_b, cuts))
         n = len(ends)
         sizes = [np.bincount(x, minlength=n) for x in (unit_a, unit_b, unit)]
-        self._sizes.append(np.stack([*sizes, np.ones(n, np.int64)]))
-        self._links.append(a[last_a].astype(np.uint64) << np.uint64(32) | b[last_b].astype(np.uint64))
+        self._sizes += np.stack([*sizes, np.ones(n, np.int64)], axis=1).tolist()
+        self._links += (a[last_a] << 32 | b[last_b]).tolist()
         # A group's A tokens, then its B tokens.
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
         tokens = [(self._last_a if x else self._inner)[i] for i, x in zip(a.tolist(), last_a.tolist(), strict=True)]
