@@ -113,9 +113,9 @@ def user_activity_trend(curated: DataFrame, bucket_minutes: int = 60) -> DataFra
     )
     start = F.timestamp_add("MICROSECOND", F.col("bucket") * F.lit(width * 60_000_000), F.expr(_EPOCH))
     end = F.timestamp_add("MICROSECOND", (F.col("bucket") + 1) * F.lit(width * 60_000_000), F.expr(_EPOCH))
-    last = totals.where("active_users > 0").agg(F.max("bucket").alias("_last"))  # one row
+    last = totals.where("active_users > 0").agg(F.max("bucket")).scalar()
     return (
-        totals.join(earlier, "bucket", "left").join(F.broadcast(last), F.col("bucket") <= F.col("_last"))
+        totals.where(F.col("bucket") <= last).join(earlier, "bucket", "left")
         .select(
             start.alias("window_start"), end.alias("window_end"), *names.values(),
             (F.col("active_users") - F.coalesce("_active", F.lit(0))).alias("active_change"),

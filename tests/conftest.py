@@ -27,6 +27,18 @@ def scratch():
     return tempfile.mkdtemp(prefix="ripplecast-test-")
 
 
+def feed_count(key: str, sf_dir: str = "/root/testdata/sf0.001") -> int:
+    """Rows of a query's oracle SQL on the driver tables."""
+    import duckdb
+
+    from oracle_queries import oracle_sql
+
+    con = duckdb.connect()
+    for table in ("events", "nation"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return con.execute(f"SELECT count(*) FROM ({oracle_sql()[key]})").fetchone()[0]
+
+
 def event(**overrides):
     """A well-formed social event message (dict), overridable per field."""
     base = {

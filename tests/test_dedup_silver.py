@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import event, messages_df
+from conftest import event, feed_count, messages_df
 from ripplecast.functions.parsing import parse_messages
 from ripplecast.operators.dedup import dedup_any, dedup_earliest
 from ripplecast.operators.silver import curated_events, post_dim, user_dim
@@ -170,8 +170,8 @@ def test_single_pass_ingest_equals_lazy_layers(spark, scratch):
     lake.write_landing(driver_messages(spark, "/root/testdata/sf0.001", 3))
     lake.build_bronze()
     written, lazy = lake.bronze().select(*PARSED_COLUMNS), lake.deduplicated()
-    assert written.count() == 897
+    assert written.count() == feed_count("dedup_events")
     assert written.exceptAll(lazy).count() == 0 and lazy.exceptAll(written).count() == 0
     rej_written, rej_lazy = lake.rejects(), lake.rejected()
-    assert rej_written.count() == 106
+    assert rej_written.count() == feed_count("rejected_events")
     assert rej_written.exceptAll(rej_lazy).count() == 0 and rej_lazy.exceptAll(rej_written).count() == 0

@@ -7,6 +7,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from conftest import feed_count
 
 from ripplecast.operators import gold as G
 from ripplecast.operators import quality as Q
@@ -45,12 +46,13 @@ def same(a, b):
 
 
 def test_stream_ingest_counts(spark, built):
-    assert built.bronze().count() == 897  # valid after dedup at sf0.001
-    assert built.rejects().count() == 106
-    assert built.users().count() == 15
-    assert spark.table("bronze.raw_events").count() == 897
-    assert spark.table("silver.curated_events").count() == 897
-    assert spark.table("bronze.rejected_events").count() == 106
+    rows = feed_count("dedup_events")  # valid after dedup at sf0.001
+    assert built.bronze().count() == rows
+    assert built.rejects().count() == feed_count("rejected_events")
+    assert built.users().count() == feed_count("user_dim")
+    assert spark.table("bronze.raw_events").count() == rows
+    assert spark.table("silver.curated_events").count() == rows
+    assert spark.table("bronze.rejected_events").count() == feed_count("rejected_events")
 
 
 def test_sql_duplicate_and_missing_checks(spark, built):
@@ -135,7 +137,7 @@ def test_cli_ingest_build_report(spark, capsys):
     assert main(["build", "--root", root, "--windows", f"{DAY},{5 * DAY},{15 * DAY}", "--viral-minutes",
                  str(5 * DAY), "--viral-threshold", "2"]) == 0
     lake = Lakehouse(spark, root)
-    assert lake.bronze().count() == 897 and lake.rejects().count() == 106
+    assert lake.bronze().count() == feed_count("dedup_events") and lake.rejects().count() == feed_count("rejected_events")
     assert lake.gold("trending_hashtags").count() == 30
     assert main(["report", "--root", root]) == 0
     assert "duplicate_events" in capsys.readouterr().out
@@ -147,5 +149,5 @@ def test_ensure_keeps_stream_written_bronze(spark, built):
     again = Lakehouse(spark, built.root, built.gold_params)
     again.ensure("gold")
     # still the stream's batch folders (no batch rebuild over them)
-    assert again.bronze().count() == 897
+    assert again.bronze().count() == feed_count("dedup_events")
     assert again.spark.read.parquet(again.path("bronze")).columns[-2:] == ["query_id", "batch_id"]

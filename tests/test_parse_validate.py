@@ -157,8 +157,8 @@ ALWAYS = ("event_id", "user_id", "event_timestamp")
 
 
 def test_named_rules_equal_required_field_table_on_driver_feed(spark):
-    """On all driver messages the rule conjunction equals "known type and all
-    fields required for that type present"."""
+    """On all driver messages the rule conjunction (but for the time's form) equals "known
+    type and all fields required for that type present"."""
     from ripplecast.sources.driver_feed import driver_messages
 
     parsed = parse_messages(driver_messages(spark, "/root/testdata/sf0.001"))
@@ -169,9 +169,9 @@ def test_named_rules_equal_required_field_table_on_driver_feed(spark):
             present = present & F.col(c).isNotNull()
         by_type = F.when(F.col("event_type") == typ, present).otherwise(by_type)
     expected = F.col("_corrupt_record").isNull() & F.coalesce(by_type, F.lit(False))
-    rules = validation_rules()
+    rules = validation_rules(check_timestamp_parse=False)
     assert parsed.where(is_valid(rules) != expected).count() == 0
-    assert parsed.where(expected).count() > 900
+    assert parsed.where(expected).count() > parsed.where(is_valid(validation_rules())).count() > 800
 
 
 def test_rejects_keep_kafka_coordinates(spark):
