@@ -310,6 +310,21 @@ def stream_hashtag_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def comment_sentiment_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentiment by a lexicon table, in the form for lexicons beyond the broadcast threshold: the fixed phrases
+    and one for every post of the data, compared with white space trimmed and collapsed."""
+    from ripplecast.operators.lexicon import comment_sentiment_by_table, lexicon_table, loose_phrase
+
+    lake = driver_lake(spark, sf_dir, "silver")
+    own = lake.posts().select(
+        F.concat(F.lit("Love  "), "post_id").alias("phrase"), F.lit("Positive").alias("sentiment"), F.lit(4).alias("priority")
+    )
+    return comment_sentiment_by_table(
+        lake.curated_partitioned(), lexicon_table(spark).unionByName(own), loose_phrase, DRIVER_GOLD.run_ts, lake.tz,
+        rows_per_split=100, force_split=True,
+    )
+
+
 def _twice(df: DataFrame, which: Column) -> DataFrame:
     copies = F.when(which, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return df.withColumn("_copy", F.explode(copies)).drop("_copy")
