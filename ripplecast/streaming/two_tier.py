@@ -119,10 +119,17 @@ def two_tier_sink(root: str, ttl: str, same_time: bool, session_tz: str):
         rejects.write.mode("overwrite").parquet(folder("rejects"))
         commit = (query_id, batch_id, written.count(), late, ranges["rejects"], ranges["first"], ranges["last"])
         spark.createDataFrame([commit], COMMIT_SCHEMA).write.mode("overwrite").parquet(folder("_commits"))
+        for kind in ("_stage", "_late"):  # a replay writes them again
+            _delete(spark, folder(kind))
 
     return write
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def start_two_tier(
     messages: DataFrame, root: str, checkpoint: str, ttl: str = "24 hours", same_time: bool = False,
     trigger: dict | None = None,

@@ -122,6 +122,7 @@ def test_copies_are_found_in_both_tiers_and_state_is_bounded(spark, scratch, sam
     query = _two_tier(spark, topic, root, same_time)
     assert sorted(r["event_id"] for r in T.read_bronze(spark, root).collect()) == sorted(f"e{i}" for i in range(90))
     assert T.read_rejects(spark, root).count() == 27  # every copy of a reject is kept
+    assert not any(files for _, _, files in os.walk(f"{root}/_late"))  # nothing but the committed folders stays
     commits = {r["batch_id"]: r for r in T.read_commits(spark, root).collect()}
     assert [commits[k]["late_copies"] for k in sorted(commits)] == [0] * 7 + [1, 1]
     state = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
