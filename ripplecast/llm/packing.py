@@ -1,7 +1,8 @@
 """Best-fit packing (operator 6): token sequences of at most `capacity` ids.
 
 Tokenising: the tokenizer's pre-tokens never cross white space, so ids are
-computed once per distinct word of a task and gathered for every occurrence.
+computed once per distinct word of a worker process (a bounded cache) and gathered for every
+occurrence. A task holds CHUNK bytes of text or one longer text, at about 60 bytes a word.
 
 Packing works on the histogram of piece lengths, at most `capacity` numbers whatever
 the corpus: exact-complement hashing keeps an index of the available single lengths,
@@ -21,6 +22,8 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +34,15 @@ from ripplecast.llm.tables import materialise, read, shuffle_width
 from ripplecast.llm.text import chunks, split_words, word_hashes
 
 CAPACITY, END_ID = 4096, 1
-#: Distinct words whose ids a task keeps.
-CACHE_WORDS = 1_000_000
+#: Distinct words whose ids a worker process keeps, and words encoded at a time.
+CACHE_WORDS, ENCODE = 1_000_000, 2_000
+#: Text bytes tokenised at a time.
+CHUNK = 2 << 20
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
 
 
 class WordIds:
-    """Token ids of words, encoded once per distinct word."""
+    """Token ids of words, encoded once per distinct word (`known` is sorted)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,18 +56,19 @@ class WordIds:
         self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self._clear()
+    def _learn(self, hashes: np.ndarray, words: Iterator[str]) -> None:
+        """Words new to the cache, in the order of their sorted hashes."""
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        got = [e.ids for a in range(0, len(words), 20_000) for e in encode(words[a : a + 20_000], add_special_tokens=False)]
-        size = np.array([len(x) for x in got], np.int64)
-        flat = np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known)
-        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])[order]
-        self.size = np.concatenate([self.size, size])[order]
-        self.known, self.ids = known[order], np.concatenate([self.ids, flat])
+        sizes, flat = [], []
+        while some := list(islice(words, ENCODE)):
+            got = [e.ids for e in encode(some, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+            flat.append(np.fromiter(chain.from_iterable(got), np.uint32, int(sizes[-1].sum())))
+        size = np.concatenate(sizes)
+        at = np.searchsorted(self.known, hashes)
+        self.begin = np.insert(self.begin, at, len(self.ids) + np.cumsum(size) - size)
+        self.size = np.insert(self.size, at, size)
+        self.known, self.ids = np.insert(self.known, at, hashes), np.concatenate([self.ids, *flat])
 
     def encode(self, buf: np.ndarray, words) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words end to end, ids per word)."""
@@ -75,7 +81,7 @@ class WordIds:
         if len(new):
             data = buf.tobytes()
             at = zip(words.start[first[new]].tolist(), words.end[first[new]].tolist(), strict=True)
-            self._learn(distinct[new], [data[a:b].decode() for a, b in at])
+            self._learn(distinct[new], (data[a:b].decode() for a, b in at))
         place = np.searchsorted(self.known, distinct)[inverse]
         size = self.size[place]
         cum = np.cumsum(size) - size
@@ -85,26 +91,39 @@ class WordIds:
 
 def _pieces(path: str, capacity: int, end_id: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordIds(path)
-        for c in chunks(batches, size=8 << 20):
+        coder = word_ids(path)
+        for c in chunks(batches, size=CHUNK):
             words = split_words(c.buf, c.starts, c.ends)
             ids, size = coder.encode(c.buf, words)
             cum = np.append(0, np.cumsum(size))
-            out = []
-            doc = c.table.column("doc_id").to_pylist()
-            for i, (a, b) in enumerate(zip(cum[words.first], cum[words.last], strict=True)):
-                whole = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
-                for k, s in enumerate(range(0, len(whole), capacity)):
-                    part = whole[s : s + capacity].tobytes()
-                    out.append((doc[i], k, s, len(part) // 4, zlib.crc32(part), part if keep_ids else None))
+            n = cum[words.last] - cum[words.first] + 1
+            stop = np.cumsum(n)
+            flat = np.full(int(stop[-1]), end_id, "<u4")
+            inside = np.ones(len(flat), bool)
+            inside[stop - 1] = False
+            flat[inside] = ids
+            count = -(-n // capacity)
+            row = np.repeat(np.arange(len(n)), count)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            start = piece * capacity
+            length = np.minimum(capacity, n[row] - start)
+            first, data = (stop - n)[row] + start, memoryview(flat).cast("B")
+            parts = [data[4 * a : 4 * (a + m)] for a, m in zip(first.tolist(), length.tolist(), strict=True)]
+            crc = np.fromiter(map(zlib.crc32, parts), np.int64, len(parts))
+            body = pa.array([bytes(x) for x in parts], pa.binary()) if keep_ids else pa.nulls(len(parts), pa.binary())
+            numbers = [pa.array(piece.astype(np.int32)), *map(pa.array, (start, length, crc))]
             names = [x.split()[0] for x in PIECE_SCHEMA.split(", ")]
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            cols = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], names)
+            yield pa.RecordBatch.from_arrays([c.table.column("doc_id").take(pa.array(row)), *numbers, body], names)
 
     return run
 
 
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One tokenizer and cache per worker process: later tasks find them warm."""
+    return WordIds(path)
+
+
 class _Supply:
     """Available lengths with an index of the pair sums they can form."""
 
