@@ -7,8 +7,8 @@ its own index for the last step. The search is exact and never compares all pair
    the window's content alone, so equal windows have equal anchors. Consecutive
    windows of one document with the same anchor form one super-window: about
    2 / (W - K + 2) rows per symbol instead of one.
-2. *Local first.* Each map task keeps the first of equal super-windows and marks
-   the rest as repeats at once, so a passage held by a third of all documents
+2. *Local first.* Each map task keeps the first of equal super-windows (by a 64-bit key of the
+   anchor and 96 bits of the content) and marks the rest as repeats at once, so a passage held by a third of all documents
    sends at most one row per task and content. An anchor with many different
    super-windows in a task (the edges of a hot passage) is *hot*.
 3. *Exchange by anchor.* Rows travel as packed blobs. A super-window equal to an
@@ -16,7 +16,7 @@ its own index for the last step. The search is exact and never compares all pair
    *edge* and must be looked into.
 4. *Contents.* Edges fetch their symbols from their documents. Hot anchors are
    split into single windows, keyed by the window itself, and reduced to the
-   first per task again.
+   first per task again, comparing the symbols.
 5. *Index.* Per partition the operator's index reports windows that start earlier.
 
 Positions are ordered by (doc_id, start). Rows with a null id take no part. Rows
@@ -40,15 +40,15 @@ from ripplecast.llm.text import Chunk, chunks, gram_hash, mix, prefix_sums, span
 FLUSH_ROWS = 2_000_000
 #: Different super-windows of one anchor in one flush that make it hot.
 HOT_CONTEXTS = 32
-#: Symbols of one index.
-INDEX_SYMBOLS = 1_000_000
+#: Symbols of one index, and symbols of hot windows that a map task holds.
+INDEX_SYMBOLS, HOT_SYMBOLS = 1_000_000, 4_000_000
 
 BLOB_SCHEMA = "pid int, kind int, body binary"
 MARK_SCHEMA = "doc_id long, s long, e long, akey long, flag int"
 #: flag of a mark: a repeat to remove, an edge, an edge of a hot anchor.
 REPEAT, EDGE, HOT = 0, 1, 2
 
-ROW = np.dtype([("akey", "<u8"), ("ckey", "<u4"), ("doc", "<i8"), ("s", "<u4"), ("n", "<u2")])
+ROW = np.dtype([("akey", "<u8"), ("ckey", "<u8"), ("more", "<u4"), ("doc", "<i8"), ("s", "<u4"), ("n", "<u2")])
 MARK = np.dtype([("doc", "<i8"), ("s", "<u4"), ("e", "<u4"), ("akey", "<u8"), ("flag", "u1")])
 PART = np.dtype([("akey", "<u8"), ("doc", "<i8"), ("s", "<u4"), ("n", "<u2"), ("symbols", "<u4")])
 
@@ -73,13 +73,17 @@ class Scheme:
     index: Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray]
 
 
-def super_windows(sums, first, last, window, gram):
-    """Maximal runs of windows with one anchor: (row, start, windows, anchor key, content key)."""
+def super_windows(sums, others, first, last, window, gram):
+    """Maximal runs of windows with one anchor: (row, start, windows, anchor key, two content keys).
+
+    The content keys come from two independent sets of prefix sums. Within one anchor the
+    first 64 and 32 more bits tell contents apart: 10**10 contents of one
+    anchor collide with a chance below 10**-9."""
     n = len(sums) - 1
     rows = np.flatnonzero(last - first >= window)
     empty = np.zeros(0, np.int64)
     if not len(rows):
-        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, *(empty.astype(np.uint64) for _ in range(3))
     order = mix(gram_hash(sums, gram), 1)
     span = window - gram + 1
     # High half: the gram's rank; low half: its place, so the leftmost least gram wins.
@@ -104,8 +108,8 @@ def super_windows(sums, first, last, window, gram):
     of = np.searchsorted(begin, s, "right") - 1
     e = np.minimum(np.append(s[1:], n), stop[of])
     akey = mix(order[anchor[s]], 2)
-    ckey = mix(span_hash(sums, s, e - 1 + window) ^ (e - s).astype(np.uint64), 3)
-    return rows[of], s, e - s, akey, ckey
+    ckey, more = (mix(span_hash(x, s, e - 1 + window) ^ (e - s).astype(np.uint64), k) for x, k in ((sums, 3), (others, 5)))
+    return rows[of], s, e - s, akey, ckey, more
 
 
 def pid_of(keys: np.ndarray, width: int) -> np.ndarray:
@@ -130,10 +134,12 @@ def blob_batch(items: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def first_of_groups(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sort by (akey, ckey, doc, s). Returns the rows, `first` flags and `earlier exists` flags."""
-    rows = rows[np.lexsort((rows["s"], rows["doc"], rows["ckey"], rows["akey"]))]
+    """Sort by (akey, ckey, more, doc, s). Returns the rows, `first` flags and `earlier exists` flags."""
+    rows = rows[np.lexsort((rows["s"], rows["doc"], rows["more"], rows["ckey"], rows["akey"]))]
     first = np.ones(len(rows), bool)
-    first[1:] = (rows["akey"][1:] != rows["akey"][:-1]) | (rows["ckey"][1:] != rows["ckey"][:-1])
+    for key in ("akey", "ckey", "more"):
+        first[1:] &= rows[key][1:] == rows[key][:-1]
+    first[1:] = ~first[1:]
     head = np.flatnonzero(first)[np.cumsum(first) - 1] if len(rows) else np.zeros(0, np.int64)
     later = (rows["doc"] != rows["doc"][head]) | (rows["s"] != rows["s"][head])
     return rows, first, later
@@ -190,12 +196,11 @@ def _map_super_windows(scheme: Scheme, width: int):
             sym = scheme.symbols(c)
             if not len(sym.values):
                 continue
-            row, s, n, akey, ckey = super_windows(
-                prefix_sums(sym.hashed), sym.first, sym.last, scheme.window, scheme.gram
-            )
+            sums, others = prefix_sums(sym.hashed), prefix_sums(mix(sym.hashed, 51))
+            row, s, n, akey, ckey, more = super_windows(sums, others, sym.first, sym.last, scheme.window, scheme.gram)
             ok = c.valid[row]
             out = np.empty(int(ok.sum()), ROW)
-            out["akey"], out["ckey"], out["n"] = akey[ok], ckey[ok] >> np.uint64(32), n[ok]
+            out["akey"], out["ckey"], out["more"], out["n"] = akey[ok], ckey[ok], more[ok] >> np.uint64(32), n[ok]
             out["doc"], out["s"] = c.ids[row[ok]], (s - sym.first[row])[ok]
             salt = (salt + int(c.ids[0])) % width
             held.append(out)
@@ -276,14 +281,16 @@ def _flush_parts(parts, windows, scheme, width, salt):
         rows = np.concatenate([w[0] for w in windows])
         values = np.concatenate([w[1] for w in windows]).reshape(len(rows), scheme.window)
         order = np.lexsort((rows["s"], rows["doc"], rows["akey"]))
-        rows = rows[order]
+        rows, values = rows[order], values[order]
         first = np.concatenate([[True], rows["akey"][1:] != rows["akey"][:-1]])
         head = np.flatnonzero(first)[np.cumsum(first) - 1]
+        # The symbols themselves decide; windows that only share a hash go to the index as they are.
+        first |= (values != values[head]).any(axis=1)
         later = (rows["doc"] != rows["doc"][head]) | (rows["s"] != rows["s"][head])
         side = merged(_marks(rows[~first & later], scheme.window, REPEAT))
         if len(side):
             out.append((salt % width, 1, side.tobytes()))
-        parts = [*parts, (rows[first], values[order[first]].ravel())]
+        parts = [*parts, (rows[first], values[first].ravel())]
     if parts:
         out += _parts(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), width, scheme.dtype)
     return out
@@ -293,7 +300,7 @@ def _map_contents(scheme: Scheme, width: int):
     window = scheme.window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, windows, size, salt = [], [], 0, 0
+        parts, windows, size, held, salt = [], [], 0, 0, 0
         for c in chunks(batches):
             sym = scheme.symbols(c)
             edges = c.table.column("edges")
@@ -322,16 +329,22 @@ def _map_contents(scheme: Scheme, width: int):
                 step = np.arange(int(count.sum())) - np.repeat(cum, count)
                 begin = np.repeat(lo[~plain], count) + step
                 sums = prefix_sums(sym.hashed)
-                rows = np.empty(len(begin), PART)
-                rows["akey"] = mix(span_hash(sums, begin, begin + window), 4)
-                rows["doc"], rows["s"] = np.repeat(c.ids[of[~plain]], count), np.repeat(s[~plain], count) + step
-                rows["n"], rows["symbols"] = 1, window
-                windows.append((rows, sym.values[begin[:, None] + np.arange(window)].ravel()))
-                size += len(rows) * window
+                whole = np.empty(len(begin), PART)
+                whole["akey"] = mix(span_hash(sums, begin, begin + window), 4)
+                whole["doc"], whole["s"] = np.repeat(c.ids[of[~plain]], count), np.repeat(s[~plain], count) + step
+                whole["n"], whole["symbols"] = 1, window
+                views = np.lib.stride_tricks.sliding_window_view(sym.values, window)
+                step = max(1, HOT_SYMBOLS // window)
+                for a in range(0, len(begin), step):  # a window's symbols are copied for so many at a time
+                    windows.append((whole[a : a + step], views[begin[a : a + step]].ravel()))
+                    held += len(windows[-1][1])
+                    if held >= HOT_SYMBOLS:
+                        yield blob_batch(_flush_parts([], windows, scheme, width, salt + a))
+                        windows, held = [], 0
             salt += int(c.ids[0])
             if size >= 8 * INDEX_SYMBOLS:
-                yield blob_batch(_flush_parts(parts, windows, scheme, width, salt))
-                parts, windows, size = [], [], 0
+                yield blob_batch(_flush_parts(parts, [], scheme, width, salt))
+                parts, size = [], 0
         if parts or windows:
             yield blob_batch(_flush_parts(parts, windows, scheme, width, salt))
 
