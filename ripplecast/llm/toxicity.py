@@ -92,6 +92,7 @@ def normalise(buf: np.ndarray, words: Words) -> Normal:
     near = np.zeros(n, bool)
     if n > 2:
         near[1:-1] = letter[:-2] & letter[2:]
+        near[words.start], near[words.end - 1] = False, False  # the next row's text follows without a gap
     swap = near & (_LEET[buf] > 0)
     out = np.where(swap, _LEET[buf], _LOWER[buf])
     keep = letter | _DIGIT[buf] | swap
