@@ -344,6 +344,21 @@ def faulted(curated: DataFrame, users: DataFrame, posts: DataFrame) -> tuple[Dat
     )
 
 
+def dq_report_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on silver tables with seeded faults, from states folded over eight arrivals of dates."""
+    from ripplecast.operators.quality_states import day_of, fold, report_from_states
+
+    lake = driver_lake(spark, sf_dir, "silver")
+    curated, users, posts = faulted(lake.curated_partitioned(), lake.users(), lake.posts())
+    root = lake.path("quality-states")
+    rows = lake.curated_partitioned().select(day_of(F.col("event_timestamp")).alias("day")).distinct().collect()  # days
+    days = sorted(r["day"] for r in rows)
+    for k in range(STREAM_DEMO_BATCHES):
+        if days[k::STREAM_DEMO_BATCHES]:
+            fold(curated, root, days[k::STREAM_DEMO_BATCHES])
+    return report_from_states(spark, root, users, posts)
+
+
 def _data_files(spark: SparkSession, folder: str) -> list[str]:
     """Data files of a written folder, sorted (paths only, listed on the driver)."""
     jvm = spark.sparkContext._jvm
