@@ -345,7 +345,7 @@ def faulted(curated: DataFrame, users: DataFrame, posts: DataFrame) -> tuple[Dat
 
 
 def dq_report_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report on silver tables with seeded faults, from states folded over eight arrivals of dates."""
+    """The report on silver tables with seeded faults, from states folded over four arrivals of dates."""
     from ripplecast.operators.quality_states import day_of, fold, report_from_states
 
     lake = driver_lake(spark, sf_dir, "silver")
@@ -353,9 +353,8 @@ def dq_report_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = lake.path("quality-states")
     rows = lake.curated_partitioned().select(day_of(F.col("event_timestamp")).alias("day")).distinct().collect()  # days
     days = sorted(r["day"] for r in rows)
-    for k in range(STREAM_DEMO_BATCHES):
-        if days[k::STREAM_DEMO_BATCHES]:
-            fold(curated, root, days[k::STREAM_DEMO_BATCHES])
+    for k in range(min(4, len(days))):
+        fold(curated, root, days[k::4])
     return report_from_states(spark, root, users, posts)
 
 
