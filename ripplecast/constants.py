@@ -27,8 +27,6 @@ POST_EVENT_TYPES: tuple[str, ...] = (
     "video_view",
 )
 
-# Event types that must carry a target user.
-
 # Engagement types that count towards a creator's score, with weights.
 ENGAGEMENT_WEIGHTS: dict[str, int] = {"like": 1, "comment": 2, "share": 3}
 
