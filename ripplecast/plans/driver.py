@@ -16,7 +16,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplecast.plans.lakehouse import GoldParams, Lakehouse
+from ripplecast.plans.lakehouse import GoldParams, Lakehouse, write_messages
 from ripplecast.schema import PARSED_COLUMNS
 from ripplecast.session import work_dir
 from ripplecast.sources.driver_feed import driver_messages
@@ -60,7 +60,7 @@ def files_per_trigger(spark: SparkSession, folder: str) -> int:
 
 
 def driver_lake(spark: SparkSession, sf_dir: str, upto: str = "gold") -> Lakehouse:
-    """The (memoised) lakehouse for one driver data folder, built up to `upto`."""
+    """The (memoised) lakehouse for one driver data folder, built up to `upto` ("root": nothing is built)."""
     sf_dir = os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir
     key = (spark.sparkContext.applicationId, sf_dir)
     lake = _LAKES.get(key)
@@ -68,6 +68,8 @@ def driver_lake(spark: SparkSession, sf_dir: str, upto: str = "gold") -> Lakehou
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
         lake = Lakehouse(spark, f"{work_dir(spark)}/ripplecast-lake/{tag}", DRIVER_GOLD)
         _LAKES[key] = lake
+    if upto == "root":
+        return lake
     # The topic as log segments (one file each, ~500k messages), so streams
     # see several micro-batches and scans of the landing stay parallel.
     lake.ensure_landing(lambda: driver_messages(spark, sf_dir, landing_segments(spark, sf_dir)))
@@ -154,13 +156,11 @@ def disordered_landing(spark: SparkSession, sf_dir: str) -> str:
     `LATE_SEGMENTS` segments behind their place. The file times tell the arrival."""
     from ripplecast.plans.lakehouse import is_complete
 
-    lake = driver_lake(spark, sf_dir, "landing")
-    path = lake.path("landing_disordered")
+    path = driver_lake(spark, sf_dir, "root").path("landing_disordered")
     if not is_complete(spark, path):
         events = spark.read.parquet(f"{sf_dir}/events.parquet").count()  # footer metadata
         late_by = max(1, events * LATE_SEGMENTS // STREAM_DEMO_BATCHES)
-        messages = driver_messages(spark, sf_dir, landing_segments(spark, sf_dir), late_by)
-        messages.write.mode("overwrite").text(path)
+        write_messages(driver_messages(spark, sf_dir, landing_segments(spark, sf_dir), late_by), path)
     return _in_arrival_order(spark, path)
 
 
@@ -175,7 +175,7 @@ def two_tier_root(spark: SparkSession, sf_dir: str) -> str:
     from ripplecast.streaming.two_tier import arrivals, start_two_tier
 
     path = disordered_landing(spark, sf_dir)
-    root = driver_lake(spark, sf_dir, "landing").path("stream", "two-tier")
+    root = driver_lake(spark, sf_dir, "root").path("stream", "two-tier")
     messages = arrivals(spark, path, files_per_trigger(spark, path))
     _finish(start_two_tier(messages, root, root + "/_checkpoint", ttl=RECENT_IDS_TTL, trigger={"availableNow": True}))
     return root
@@ -201,7 +201,7 @@ def stream_dimension(dimension: str):
         from ripplecast.streaming.ingest import file_messages
 
         path = disordered_landing(spark, sf_dir)
-        root = driver_lake(spark, sf_dir, "landing").path("stream", dimension)
+        root = driver_lake(spark, sf_dir, "root").path("stream", dimension)
         messages = file_messages(spark, path, files_per_trigger(spark, path))
         _finish(start_dimension(messages, dimension, root + "/out", root + "/_checkpoint", {"availableNow": True}))
         return read_dimension(spark, root + "/out", dimension)
@@ -216,7 +216,7 @@ def stream_viral_any_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ripplecast.streaming.viral import read_peaks, start_peaks
 
     path = disordered_landing(spark, sf_dir)
-    root = driver_lake(spark, sf_dir, "landing").path("stream", "viral-any-window")
+    root = driver_lake(spark, sf_dir, "root").path("stream", "viral-any-window")
     messages = file_messages(spark, path, 2 * files_per_trigger(spark, path))
     events = clean_stream(messages, session_tz=session_time_zone(spark))
     done = start_peaks(
@@ -384,7 +384,7 @@ def incremental_lake(spark: SparkSession, sf_dir: str):
     def arrive(name: str, paths: list[str]) -> None:
         out = lake.path("live", name)
         if paths and not is_complete(spark, out):
-            spark.read.text(paths).write.mode("overwrite").text(out)
+            write_messages(spark.read.text(paths), out)
 
     def ingest() -> None:
         q = start_ingest(

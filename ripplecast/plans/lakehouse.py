@@ -1,6 +1,6 @@
 """Medallion layers as written Parquet tables under one root folder.
 
-    <root>/landing                 JSON lines, one message per line (the topic)
+    <root>/landing                 JSON lines, one message per line, gzip files (the topic)
     <root>/_stage                  parsed messages by outcome (batch ingest)
     <root>/bronze                  valid, de-duplicated events (+ ingested_at)
     <root>/rejects                 rejected messages with failed rule names
@@ -72,6 +72,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return _hadoop_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
+def write_messages(messages: DataFrame, path: str) -> None:
+    """Messages as lines of compressed text files: JSON repeats its keys in every line, so the plain text is
+    several times as long. A file is read by one task, so callers lay out files of a task's size."""
+    messages.write.mode("overwrite").text(path, compression="gzip")
+
+
 @dataclass
 class GoldParams:
     trending_windows_minutes: tuple[int, ...] = TRENDING_WINDOWS_MINUTES
@@ -132,7 +138,7 @@ class Lakehouse:
     def write_landing(self, messages: DataFrame) -> None:
         """Persist a message stream (column `value`) as JSON lines."""
         self._invalidate("landing")
-        messages.select(F.col("value").cast("string")).write.mode("overwrite").text(self.path("landing"))
+        write_messages(messages.select(F.col("value").cast("string")), self.path("landing"))
 
     def ensure_landing(self, messages: Callable[[], DataFrame]) -> None:
         """Write the landing folder from `messages()` unless it is complete."""

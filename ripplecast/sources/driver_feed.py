@@ -17,7 +17,8 @@ The attributes of a user or post change from event to event (name, country, crea
 time, tag), so a dimension built from any other than the first event differs.
 
 All rows are kept: nothing is filtered, sampled or capped. The plan is map-only
-(one broadcast of the 25-row nation table); it scales with `events`.
+(one broadcast of the 25-row nation table) but for the exchange into log segments;
+it scales with `events`.
 """
 
 from __future__ import annotations
@@ -52,15 +53,26 @@ def _str_id(prefix: str, n: Column) -> Column:
     return F.concat(F.lit(prefix), n.cast("string"))
 
 
+def _source_rows(events: DataFrame) -> DataFrame:
+    """What the messages are made of: a few short columns of each driver row."""
+    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
+    return events.select("event_id", "ts", "user_id", "event_type", k.alias("k"))
+
+
 def social_rows(events: DataFrame, nation: DataFrame) -> DataFrame:
     """Driver rows → social event fields (strings; timestamps as ISO text)."""
+    return _fields(_source_rows(events), nation)
+
+
+def _fields(source: DataFrame, nation: DataFrame) -> DataFrame:
     nation_small = nation.select(F.col("n_nationkey").alias("_nk"), F.col("n_name").alias("_country"))
-    ev = events.select("event_id", "ts", "user_id", "event_type", "props").join(
-        nation_small, F.pmod(F.col("user_id") + F.col("event_id") % 3, F.lit(25)) == F.col("_nk"), "left"
+    # Broadcast (25 rows): a shuffled join would undo the log segments.
+    ev = source.join(
+        F.broadcast(nation_small), F.pmod(F.col("user_id") + F.col("event_id") % 3, F.lit(25)) == F.col("_nk"), "left"
     )
     seq = F.col("event_id")
     uid = F.col("user_id")
-    k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
+    k = F.col("k")
     raw = F.col("event_type")
     kind = (
         F.when(raw == "click", F.lit("like"))
@@ -139,20 +151,22 @@ def social_messages(
     fall into a later segment (and a later micro-batch). With `late_by`, the same
     messages arrive in disorder: every thirteenth, and every other copy, that many
     positions later."""
-    rows = social_rows(events, nation)
+    n = F.col("event_id")
+    copies = F.explode(F.when(n % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    source = _source_rows(events).withColumn("copy", copies)
+    if segments:
+        arrival = n + F.col("copy") * F.lit(REDELIVERY_LAG)
+        if late_by:
+            late = (n % 13 == 5) | ((F.col("copy") == 1) & (n % 40 == 0))
+            arrival = arrival + F.when(late, F.lit(late_by)).otherwise(F.lit(0))
+        # The short source columns are exchanged; the messages are composed after it, in their segment.
+        source = source.repartitionByRange(segments, arrival, F.col("copy"))
+    rows = _fields(source.drop("copy"), nation)
     fields = [c for c in rows.columns if c != "seq"]
     payload = F.to_json(F.struct(*[F.col(c) for c in fields]))
     s = F.col("seq")
     value = F.when(s % 50 == 7, F.expr("substring(_json, 1, length(_json) - 1)")).otherwise(F.col("_json"))
-    copies = F.explode(F.when(s % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    msgs = rows.select(s, payload.alias("_json")).select(s, value.alias("value"), copies.alias("copy"))
-    if segments:
-        arrival = F.col("seq") + F.col("copy") * F.lit(REDELIVERY_LAG)
-        if late_by:
-            late = (s % 13 == 5) | ((F.col("copy") == 1) & (s % 40 == 0))
-            arrival = arrival + F.when(late, F.lit(late_by)).otherwise(F.lit(0))
-        msgs = msgs.repartitionByRange(segments, arrival, F.col("copy"))
-    return msgs.select("value")
+    return rows.select(s, payload.alias("_json")).select(value.alias("value"))
 
 
 def read_driver_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

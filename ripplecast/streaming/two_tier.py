@@ -51,13 +51,15 @@ def stamped(messages: DataFrame) -> DataFrame:
 
 
 def judged_once(messages: DataFrame, ttl: str) -> DataFrame:
-    """Parsed messages with `failed_rules` ('' for valid ones), without the copies of recent ids."""
+    """Parsed messages with `failed_rules` ('' for valid ones), without the copies of recent ids. Only rejects
+    take their raw text through the state exchange and the outcome: bronze has no use for it."""
     parsed = parse_messages(messages, keep_value=True, carry=(ARRIVED,))
     rules = validation_rules()
     valid = is_valid(rules)
     key = F.when(valid, F.concat(F.lit("id:"), F.col("event_id"))).otherwise(F.concat(F.lit("reject:"), F.expr("uuid()")))
     judged = parsed.select(
-        ARRIVED, "value", *PARSED_COLUMNS, F.when(valid, F.lit("")).otherwise(failed_rules(rules)).alias("failed_rules"),
+        ARRIVED, F.when(~valid, F.col("value")).alias("value"), *PARSED_COLUMNS,
+        F.when(valid, F.lit("")).otherwise(failed_rules(rules)).alias("failed_rules"),
         F.when(valid, F.lit("bronze")).otherwise(F.lit("rejects")).alias("outcome"), key.alias("dedup_key"),
     )
     return judged.withWatermark(ARRIVED, ttl).dropDuplicatesWithinWatermark(["dedup_key"]).drop("dedup_key")
@@ -90,7 +92,7 @@ def two_tier_sink(root: str, ttl: str, same_time: bool, session_tz: str):
             return batch_folder(f"{root}/{kind}", query_id, batch_id)
 
         stage = folder("_stage")
-        batch_df.write.mode("overwrite").partitionBy("outcome").parquet(stage)
+        batch_df.write.mode("overwrite").partitionBy("outcome").parquet(stage, compression="zstd")
         staged = spark.read.schema(batch_df.schema).parquet(stage)
         events = typed_events(staged.where("outcome = 'bronze'"), session_tz)
         commits = read_commits(spark, root)
