@@ -295,14 +295,15 @@ def viral_posts_any_window(
     Exact and skew-proof, from prefix counts instead of per-post windows:
     the frame count of a like at t is  #likes(post, <= t) - #likes(post, < t - w).
     Both terms are read off one global running count of likes in
-    (post, time) order, at two marker rows per like: one at (t - w) sorting before
-    likes of that instant, one at t sorting after them. The running count is
+    (post, time) order, at two rows per post and instant of likes: a marker at (t - w) sorting
+    before the likes of that instant, and their number at t. The running count is
     computed over range partitions (`global_running_sum`), so neither a hot post
     nor a hot time bucket is ever gathered into one task. Posts whose total
     likes do not exceed the threshold cannot qualify and are pruned exactly
     first (a hot post is split by `lookup_left_join`).
     """
-    return peak_rows(like_peaks(like_times(curated), window_minutes, threshold), window_minutes)
+    instants = likes_per_instant(like_times(curated))
+    return peak_rows(like_peaks(instants, window_minutes, threshold), window_minutes)
 
 
 def like_times(events: DataFrame) -> DataFrame:
@@ -316,36 +317,42 @@ def like_times(events: DataFrame) -> DataFrame:
     )
 
 
-def like_peaks(likes: DataFrame, window_minutes: int, threshold: int) -> DataFrame:
-    """(post_id, like_count, end_us) of `like_times` rows: the peak of every post above
-    `threshold` and the earliest like time that reaches it (see `viral_posts_any_window`)."""
+def likes_per_instant(likes: DataFrame) -> DataFrame:
+    """(post_id, t, n): the likes of every post and microsecond of `like_times` rows."""
+    return likes.groupBy("post_id", "t").agg(F.count(F.lit(1)).alias("n"))
+
+
+def like_peaks(instants: DataFrame, window_minutes: int, threshold: int) -> DataFrame:
+    """(post_id, like_count, end_us) of `likes_per_instant` rows, one per post and instant: the peak of every
+    post above `threshold` and the earliest like time that reaches it (see `viral_posts_any_window`)."""
     width_us = int(window_minutes) * 60 * 1_000_000
     totals = (
-        likes.groupBy(F.col("post_id").alias("__tp"))
-        .agg(F.count(F.lit(1)).alias("__total"))
+        instants.groupBy(F.col("post_id").alias("__tp"))
+        .agg(F.sum("n").alias("__total"))
         .where(F.col("__total") > threshold)
     )
-    cand = lookup_left_join(likes, totals, "post_id", "__tp", salt_col="rid").where(F.col("__total").isNotNull())
-    cand = cand.select("post_id", "t", "rid")
-    # kind: 0 = marker at t - w (before likes of that instant), 1 = like, 2 = marker at t (after them)
+    cand = lookup_left_join(instants, totals, "post_id", "__tp", salt_col="t").where(F.col("__total").isNotNull())
+    # n is NULL at the marker t - w, which comes before the likes of that instant.
     rows = cand.select(
-        "post_id", "rid", F.col("t").alias("t0"),
+        "post_id",
         F.explode(
             F.array(
-                F.struct((F.col("t") - F.lit(width_us)).alias("at"), F.lit(0).alias("kind")),
-                F.struct(F.col("t").alias("at"), F.lit(1).alias("kind")),
-                F.struct(F.col("t").alias("at"), F.lit(2).alias("kind")),
+                F.struct(
+                    (F.col("t") - F.lit(width_us)).alias("at"), F.lit(None).cast("long").alias("n")
+                ),
+                F.struct(F.col("t").alias("at"), F.col("n").alias("n")),
             )
         ).alias("m"),
-    ).select("post_id", "rid", "t0", F.col("m.at").alias("at"), F.col("m.kind").alias("kind"))
+    ).select("post_id", F.col("m.at").alias("at"), F.col("m.n").alias("n"))
     run = global_running_sum(
         rows,
-        [F.col("post_id"), F.col("at"), F.col("kind"), F.col("rid"), F.col("t0")],
-        (F.col("kind") == 1).cast("long"),
+        [F.col("post_id"), F.col("at"), F.col("n").asc_nulls_first()],
+        F.coalesce(F.col("n"), F.lit(0)),
         "run",
     )
-    framed = run.groupBy("post_id", "rid", "t0").agg(
-        (F.max(F.when(F.col("kind") == 2, F.col("run"))) - F.max(F.when(F.col("kind") == 0, F.col("run")))).alias(
+    end = F.when(F.col("n").isNull(), F.col("at") + F.lit(width_us)).otherwise(F.col("at"))
+    framed = run.groupBy("post_id", end.alias("t0")).agg(
+        (F.max(F.when(F.col("n").isNotNull(), F.col("run"))) - F.max(F.when(F.col("n").isNull(), F.col("run")))).alias(
             "cnt"
         )
     )

@@ -213,12 +213,12 @@ def stream_viral_any_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact peaks of the disordered topic, over four micro-batches."""
     from ripplecast.session import session_time_zone
     from ripplecast.streaming.ingest import clean_stream, file_messages
-    from ripplecast.streaming.viral import read_peaks, start_peaks
+    from ripplecast.streaming.viral import LIKE_COLUMNS, read_peaks, start_peaks
 
     path = disordered_landing(spark, sf_dir)
     root = driver_lake(spark, sf_dir, "root").path("stream", "viral-any-window")
     messages = file_messages(spark, path, 2 * files_per_trigger(spark, path))
-    events = clean_stream(messages, session_tz=session_time_zone(spark))
+    events = clean_stream(messages, session_tz=session_time_zone(spark), columns=LIKE_COLUMNS)
     done = start_peaks(
         events, root, root + "/_checkpoint", ANY_WINDOW_MINUTES, ANY_WINDOW_THRESHOLD, {"availableNow": True}
     )

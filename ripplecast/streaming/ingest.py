@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ripplecast.functions.parsing import parse_messages
 from ripplecast.operators.dedup import dedup_stream_exact, dedup_stream_within_watermark
 from ripplecast.operators.validate import rejected_events, valid_events
-from ripplecast.schema import BRONZE_COLUMNS
+from ripplecast.schema import BRONZE_COLUMNS, PARSED_COLUMNS
 from ripplecast.session import session_time_zone
 
 
@@ -72,15 +72,17 @@ def clean_stream(
     dedup: str = "exact",
     watermark_delay: str = "1 hour",
     session_tz: str = "UTC",
+    columns: tuple[str, ...] = PARSED_COLUMNS,
 ) -> DataFrame:
-    """Valid, de-duplicated events with the 14 typed columns.
+    """Valid, de-duplicated events with the 14 typed columns, or those of `columns`
+    (`event_id` among them): what is not read later need not go through the state exchange.
 
     dedup="exact": state keeps every id forever (the original job's semantics).
     dedup="watermark": ids are forgotten once the event-time watermark passes
     them by `watermark_delay`; bounded state, but a copy arriving later than the
     delay is emitted again and rows older than the watermark are dropped.
     """
-    valid = valid_events(parse_messages(messages), session_tz)
+    valid = valid_events(parse_messages(messages), session_tz).select(*columns)
     if dedup == "exact":
         return dedup_stream_exact(valid)
     if dedup == "watermark":

@@ -1,7 +1,7 @@
 """Posts with more than N likes in any trailing window, exactly, on a stream.
 
 A like at time t raises only the frames that end in [t, t + w], and these read only likes
-in [t - w, t + w]. So each micro-batch appends its likes to a log (a folder a
+in [t - w, t + w]. So each micro-batch appends its likes, counted per post and instant, to a log (a folder a
 micro-batch, by day), reads back the likes around its own, post by post, and counts their frames with
 the batch operator (`gold.like_peaks`: range partitions, so neither a hot post nor a
 hot instant is gathered in a task). Frames at the rim of what was read miss likes and count
@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ripplecast.constants import VIRAL_LIKE_THRESHOLD, VIRAL_WINDOW_MINUTES
-from ripplecast.operators.gold import like_peaks, like_times, peak_rows
+from ripplecast.operators.gold import like_peaks, like_times, likes_per_instant, peak_rows
 from ripplecast.streaming.ingest import batch_folder, committed_batches
 
 DAY_US = 86_400_000_000
-LIKE_SCHEMA = "post_id string, t long, rid string, day long"
+LIKE_SCHEMA = "post_id string, t long, n long, day long"
+#: What `peak_sink` reads of an event: its input needs no more, whatever goes through a deduplication before it.
+LIKE_COLUMNS = ("event_id", "event_type", "post_id", "event_timestamp")
 PEAK_SCHEMA = "post_id string, like_count long, end_us long"
 
 
@@ -33,7 +35,7 @@ def peak_sink(root: str, window_minutes: int, threshold: int):
         spark = batch_df.sparkSession
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "adhoc"
         own = batch_folder(f"{root}/likes", query_id, batch_id)
-        likes = like_times(batch_df).withColumn("day", F.floor(F.col("t") / DAY_US))
+        likes = likes_per_instant(like_times(batch_df)).withColumn("day", F.floor(F.col("t") / DAY_US))
         likes.write.mode("overwrite").partitionBy("day").parquet(own)
         new = spark.read.schema(LIKE_SCHEMA).parquet(own)
         around = new.groupBy("post_id", "day").agg((F.min("t") - width).alias("lo"), (F.max("t") + width).alias("hi"))
@@ -44,7 +46,8 @@ def peak_sink(root: str, window_minutes: int, threshold: int):
         ranges = around.select(F.col("post_id").alias("of"), "lo", "hi")
         inside = (F.col("post_id") == F.col("of")) & F.col("t").between(F.col("lo"), F.col("hi"))
         near = log.join(ranges, inside, "left_semi")
-        peaks = like_peaks(near.select("post_id", "t", "rid"), window_minutes, threshold)
+        instants = near.groupBy("post_id", "t").agg(F.sum("n").alias("n"))  # over the micro-batches
+        peaks = like_peaks(instants, window_minutes, threshold)
         peaks.write.mode("overwrite").parquet(batch_folder(f"{root}/peaks", query_id, batch_id))
 
     return write
