@@ -187,17 +187,17 @@ class Lakehouse:
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("status")
-            .parquet(stage)
+            .parquet(stage, compression="zstd")
         )
         staged = self.spark.read.schema(STAGE_SCHEMA).parquet(stage)
         valid_text = staged.where(F.col("status") == "valid").select(*PARSED_COLUMNS)
         bronze = dedup_earliest(typed_events(valid_text, self.tz))
         bronze.withColumn("ingested_at", F.current_timestamp()).select(*BRONZE_COLUMNS).write.mode(
             "overwrite"
-        ).parquet(self.path("bronze"))
+        ).parquet(self.path("bronze"), compression="zstd")
         staged.where(F.col("status") == "rejected").select("value", *PARSED_COLUMNS, "failed_rules").write.mode(
             "overwrite"
-        ).parquet(self.path("rejects"))
+        ).parquet(self.path("rejects"), compression="zstd")
 
     def bronze(self) -> DataFrame:
         # Streaming ingest writes query_id=/batch_id= sub-folders; only the
