@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -99,6 +98,11 @@ def batch_folder(root: str, query_id: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/query_id={query_id}/batch_id={batch_id}"
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def idempotent_batch_sink(
     root: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
@@ -108,24 +112,17 @@ def idempotent_batch_sink(
     overwrite (replay-safe). `prepare` maps the batch before writing.
 
     With `skip_empty`, a micro-batch without rows (all invalid or duplicate)
-    writes nothing. The batch is persisted for the emptiness check and the write
-    so the stateful upstream runs once; blocks lost with an executor are
-    recomputed from the (replayable) source offsets."""
+    leaves no folder: an empty one is removed again. The stateful upstream runs once,
+    in the write; the batch is not held in memory or on the executors' disks."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
         query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "adhoc"
         out = prepare(batch_df) if prepare else batch_df
-        if not skip_empty:
-            out.write.mode("overwrite").parquet(batch_folder(root, query_id, batch_id))
-            return
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if out.isEmpty():
-                return
-            out.write.mode("overwrite").parquet(batch_folder(root, query_id, batch_id))
-        finally:
-            out.unpersist()
+        folder = batch_folder(root, query_id, batch_id)
+        out.write.mode("overwrite").parquet(folder)
+        if skip_empty and spark.read.schema(out.schema).parquet(folder).isEmpty():
+            _delete(spark, folder)
 
     return write
 

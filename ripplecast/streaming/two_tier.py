@@ -28,7 +28,7 @@ from ripplecast.functions.rules import failed_rules, is_valid, validation_rules
 from ripplecast.operators.validate import typed_events
 from ripplecast.schema import BRONZE_COLUMNS, PARSED_COLUMNS
 from ripplecast.session import session_time_zone
-from ripplecast.streaming.ingest import batch_folder, committed_batches
+from ripplecast.streaming.ingest import _delete, batch_folder, committed_batches
 
 ARRIVED = "arrived_at"
 COMMIT_SCHEMA = (
@@ -127,11 +127,6 @@ def two_tier_sink(root: str, ttl: str, same_time: bool, session_tz: str):
     return write
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def start_two_tier(
     messages: DataFrame, root: str, checkpoint: str, ttl: str = "24 hours", same_time: bool = False,
     trigger: dict | None = None,
