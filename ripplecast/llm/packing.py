@@ -70,11 +70,18 @@ class WordIds:
         self.size = np.insert(self.size, at, size)
         self.known, self.ids = np.insert(self.known, at, hashes), np.concatenate([self.ids, *flat])
 
+    def _knows(self, hashes: np.ndarray) -> np.ndarray:
+        """Which of the sorted hashes are in the cache: looked up, the cache is not sorted again."""
+        at = np.searchsorted(self.known, hashes)
+        found = at < len(self.known)
+        found[found] = self.known[at[found]] == hashes[found]
+        return found
+
     def encode(self, buf: np.ndarray, words) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words end to end, ids per word)."""
         hashes = word_hashes(buf, words)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        new = np.flatnonzero(~np.isin(distinct, self.known, assume_unique=True))
+        new = np.flatnonzero(~self._knows(distinct))
         if len(self.known) + len(new) > CACHE_WORDS:
             self._clear()
             new = np.arange(len(distinct))

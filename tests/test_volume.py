@@ -6,6 +6,7 @@ import collections
 import datetime as dt
 import os
 
+import numpy as np
 from conftest import curated_df, event, messages_df
 
 from ripplecast.operators import gold as G
@@ -136,3 +137,16 @@ def test_the_log_of_likes_counts_copies_of_an_instant_over_micro_batches(spark,
     V.start_peaks(events, f"{scratch}/out", f"{scratch}/ck", 5, 3, ONCE).awaitTermination()
     assert [r["n"] for r in V.read_likes(spark, f"{scratch}/out").collect()] == [2, 2]
     assert [r["like_count"] for r in V.read_peaks(spark, f"{scratch}/out", 5).collect()] == [4]
+
+
+# ------------------------------------------------------------- packing (op6)
+def test_cached_words_are_looked_up():
+    from ripplecast.llm.packing import WordIds
+
+    coder = WordIds.__new__(WordIds)
+    coder._clear()
+    some = np.array([1, 3, 9, 10], np.uint64)
+    assert coder._knows(some).tolist() == [False] * 4
+    coder.known = np.array([3, 7, 9], np.uint64)
+    assert coder._knows(some).tolist() == [False, True, True, False]
+    assert coder._knows(some[:0]).tolist() == []
