@@ -12,8 +12,9 @@ its own index for the last step. The search is exact and never compares all pair
    sends at most one row per task and content. An anchor with many different
    super-windows in a task (the edges of a hot passage) is *hot*.
 3. *Exchange by anchor.* Rows travel as packed blobs. A super-window equal to an
-   earlier one is a repeat; one that shares only its anchor with others is an
-   *edge* and must be looked into.
+   earlier one is a repeat. Others of one anchor may share windows still: a window
+   reaches half of its other symbols to the left or to the right of its anchor, so
+   it is an *edge*, to be looked into, if its anchor and that half is found in another.
 4. *Contents.* Edges fetch their symbols from their documents. Hot anchors are
    split into single windows, keyed by the window itself, and reduced to the
    first per task again, comparing the symbols.
@@ -48,7 +49,9 @@ MARK_SCHEMA = "doc_id long, s long, e long, akey long, flag int"
 #: flag of a mark: a repeat to remove, an edge, an edge of a hot anchor.
 REPEAT, EDGE, HOT = 0, 1, 2
 
-ROW = np.dtype([("akey", "<u8"), ("ckey", "<u8"), ("more", "<u4"), ("doc", "<i8"), ("s", "<u4"), ("n", "<u2")])
+ROW = np.dtype(
+    [("akey", "<u8"), ("ckey", "<u8"), ("more", "<u4"), ("doc", "<i8"), ("s", "<u4"), ("n", "<u2"), ("left", "<u2"), ("right", "<u2")]
+)
 MARK = np.dtype([("doc", "<i8"), ("s", "<u4"), ("e", "<u4"), ("akey", "<u8"), ("flag", "u1")])
 PART = np.dtype([("akey", "<u8"), ("doc", "<i8"), ("s", "<u4"), ("n", "<u2"), ("symbols", "<u4")])
 
@@ -73,17 +76,18 @@ class Scheme:
     index: Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray]
 
 
-def super_windows(sums, others, first, last, window, gram):
+def super_windows(sums, others, first, last, window, gram, sides=False):
     """Maximal runs of windows with one anchor: (row, start, windows, anchor key, two content keys).
 
     The content keys come from two independent sets of prefix sums. Within one anchor the
     first 64 and 32 more bits tell contents apart: 10**10 contents of one
-    anchor collide with a chance below 10**-9."""
+    anchor collide with a chance below 10**-9. With `sides` also a left and a right key, of the anchor and half of
+    a window's other symbols beside it, 0 where the run does not reach so far."""
     n = len(sums) - 1
     rows = np.flatnonzero(last - first >= window)
     empty = np.zeros(0, np.int64)
     if not len(rows):
-        return empty, empty, empty, *(empty.astype(np.uint64) for _ in range(3))
+        return empty, empty, empty, *(empty.astype(np.uint64) for _ in range(5 if sides else 3))
     order = mix(gram_hash(sums, gram), 1)
     span = window - gram + 1
     # High half: the gram's rank; low half: its place, so the leftmost least gram wins.
@@ -109,7 +113,16 @@ def super_windows(sums, others, first, last, window, gram):
     e = np.minimum(np.append(s[1:], n), stop[of])
     akey = mix(order[anchor[s]], 2)
     ckey, more = (mix(span_hash(x, s, e - 1 + window) ^ (e - s).astype(np.uint64), k) for x, k in ((sums, 3), (others, 5)))
-    return rows[of], s, e - s, akey, ckey, more
+    found = rows[of], s, e - s, akey, ckey, more
+    if not sides:
+        return found
+    half = (window - gram + 1) // 2  # of two parts that make window - gram, one is as long
+    at = anchor[s]
+    for reaches, lo, hi in ((at - half >= s, at - half, at + gram), (at + gram + half <= e - 1 + window, at, at + gram + half)):
+        key = np.zeros(len(s), np.uint64)
+        key[reaches] = np.maximum(mix(span_hash(sums, lo[reaches], hi[reaches]), 6) >> np.uint64(48), np.uint64(1))
+        found = *found, key
+    return found
 
 
 def pid_of(keys: np.ndarray, width: int) -> np.ndarray:
@@ -197,11 +210,14 @@ def _map_super_windows(scheme: Scheme, width: int):
             if not len(sym.values):
                 continue
             sums, others = prefix_sums(sym.hashed), prefix_sums(mix(sym.hashed, 51))
-            row, s, n, akey, ckey, more = super_windows(sums, others, sym.first, sym.last, scheme.window, scheme.gram)
+            row, s, n, akey, ckey, more, left, right = super_windows(
+                sums, others, sym.first, sym.last, scheme.window, scheme.gram, sides=True
+            )
             ok = c.valid[row]
             out = np.empty(int(ok.sum()), ROW)
             out["akey"], out["ckey"], out["more"], out["n"] = akey[ok], ckey[ok], more[ok] >> np.uint64(32), n[ok]
             out["doc"], out["s"] = c.ids[row[ok]], (s - sym.first[row])[ok]
+            out["left"], out["right"] = left[ok], right[ok]
             salt = (salt + int(c.ids[0])) % width
             held.append(out)
             size += len(out)
@@ -232,6 +248,16 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, memoryview
             yield kind, body.as_buffer()
 
 
+def _meets(group: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Rows whose key another row of their group has (key 0: none)."""
+    both = group.astype(np.uint64) << np.uint64(16) | key
+    order = np.argsort(both)
+    equal = both[order][1:] == both[order][:-1]
+    out = np.zeros(len(both), bool)
+    out[order[1:][equal]] = out[order[:-1][equal]] = True
+    return out & (key > 0)
+
+
 def _reduce_super_windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
@@ -249,10 +275,9 @@ def _reduce_super_windows(window: int):
         rows = rows[first]
         if not len(rows):
             return
-        starts = np.flatnonzero(np.concatenate([[True], rows["akey"][1:] != rows["akey"][:-1]]))
-        counts = np.diff(np.append(starts, len(rows)))
+        group = np.cumsum(np.concatenate([[True], rows["akey"][1:] != rows["akey"][:-1]]))
         hot = np.isin(rows["akey"], markers)
-        edge = np.repeat(counts > 1, counts) | hot
+        edge = _meets(group, rows["left"]) | _meets(group, rows["right"]) | hot
         yield from _mark_batches(_marks(rows[edge], window, np.where(hot[edge], HOT, EDGE)))
 
     return run
@@ -389,6 +414,13 @@ def _reduce_contents(scheme: Scheme):
         begin = np.cumsum(rows["symbols"], dtype=np.int64) - rows["symbols"]
         order = np.argsort(rows["akey"], kind="stable")
         rows, begin = rows[order], begin[order]
+        # Equal windows have equal keys and those of one row differ: a row alone under its key holds no repeat.
+        new = np.flatnonzero(np.concatenate([[True], rows["akey"][1:] != rows["akey"][:-1]]))
+        size = np.diff(np.append(new, len(rows)))
+        several = np.repeat(size > 1, size)
+        rows, begin = rows[several], begin[several]
+        if not len(rows):
+            return
         new = np.flatnonzero(np.concatenate([[True], rows["akey"][1:] != rows["akey"][:-1]]))
         cum = np.append(0, np.cumsum(rows["symbols"], dtype=np.int64))
         bound = np.append(new, len(rows))
