@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ripplecast.session import work_dir
 
 
+#: Spark's setting that removes the shuffle files of an SQL execution at its end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -33,9 +35,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as Parquet in the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor re-reads files instead of repeating the job.
+    So the write's shuffle files go with its end; else they stay until the driver collects its garbage.
     """
     path = f"{work_dir(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
