@@ -14,7 +14,10 @@ Exact, and without listing the pairs of a group:
    key is sent, the others are tied to it at once: a hot key costs a row a task.
    A second packed exchange gathers a document's ties, found in many partitions,
    and hands on one star for each component of a task: at most one row a node.
-3. *Coarse components* over the key edges, which hold every true link.
+3. *Coarse components* over the key edges, which hold every true link. A line of many
+   documents ties all that hold it, so components of several blocks are cut once more
+   by keys whose order prefers shingles that few of their documents hold. Any order by
+   the content alone keeps the prefix-filter principle, so every link is kept.
 4. *T-occurrence search* in blocks of a component: an inverted index over the
    block's sets; for each document the short lists are merged to candidates with
    at least T - L occurrences, and the L longest lists are only probed by binary
@@ -49,6 +52,10 @@ FLUSH_KEYS, FLUSH_DOCS = 4_000_000, 50_000
 PLAIN_BELOW = 32
 #: Documents of one inverted index.
 BLOCK_DOCS = 2048
+#: Documents that make a shingle common, and the most frequent ones that the keys' order tells apart.
+COMMON_DOCS, COMMON_SHINGLES = 4, 1 << 17
+#: Shingles of the sets whose keys are made at once.
+KEYS_AT_ONCE = 500_000
 #: DivideSkip's weight of a binary probe.
 MU = 0.05
 
@@ -71,8 +78,10 @@ def _segments(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return of, np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
 
 
-def candidate_keys(row: np.ndarray, value: np.ndarray, rows: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key): linked sets share at least one key."""
+def candidate_keys(
+    row: np.ndarray, value: np.ndarray, rows: int, percent: int, common: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key): linked sets share at least one key. `common`: documents of each value, 0 if few."""
     size = np.bincount(row, minlength=rows)
     first = np.cumsum(size) - size
     t = size_classes(int(size.max(initial=1)), percent)
@@ -88,8 +97,9 @@ def candidate_keys(row: np.ndarray, value: np.ndarray, rows: int, percent: int)
     if len(p):
         n = size[p]
         of, at = _segments(n)
-        v = mix(value[first[p][of] + at], 21)
-        order = np.lexsort((v, of))
+        at = first[p][of] + at
+        v = mix(value[at], 21)
+        order = np.lexsort((v, of) if common is None else (v, common[at], of))
         of, v = of[order], v[order]
         take = _segments(n)[1] < (n - -(-percent * n // 100) + 1)[of]
         out_row.append(p[of[take]])
@@ -101,17 +111,23 @@ def candidate_keys(row: np.ndarray, value: np.ndarray, rows: int, percent: int)
         b = 2 * d
         base = np.cumsum(b) - b
         of, at = _segments(size[doc])
-        v = mix(value[first[doc][of] + at], 22)
+        place = first[doc][of] + at
+        v = mix(value[place], 22)
         slot = base[of] + ((v >> np.uint64(32)) * b[of].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
         total = int(b.sum())
         content = np.zeros(total, np.uint64)
         np.add.at(content, slot, mix(v, 23))
         full = np.bincount(slot, minlength=total)
+        if common is not None:
+            rare = np.bincount(slot[common[place] == 0], minlength=total)
         of, at = _segments(b)
         key = mix(content ^ mix((cls[of].astype(np.uint64) << np.uint64(40)) + at.astype(np.uint64), 24), 25)
-        emission = of.astype(np.uint64)  # fewer than 2**15
-        rank = (emission << np.uint64(48)) | ((63 - np.minimum(full, 63)).astype(np.uint64) << np.uint64(42))
-        order = np.argsort(rank | (key >> np.uint64(22)))
+        if common is None:
+            emission = of.astype(np.uint64)  # fewer than 2**15
+            rank = (emission << np.uint64(48)) | ((63 - np.minimum(full, 63)).astype(np.uint64) << np.uint64(42))
+            order = np.argsort(rank | (key >> np.uint64(22)))
+        else:
+            order = np.lexsort((key, -full, -rare, of))
         take = order[at < d[of] + 1]  # `of` is sorted, so places within an emission line up
         out_row.append(doc[of[take]])
         out_key.append(key[take])
@@ -271,6 +287,87 @@ def _merge_ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _node_batch(EDGE, edges[:, 0], edges[:, 1])
 
 
+def _token_places(tokens: np.ndarray, width: int) -> np.ndarray:
+    """48 bits of a shingle: its partition and 32 bits that tell the partition's shingles apart."""
+    h = mix(tokens, 27)
+    return pid_of(h, width).astype(np.uint64) << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
+
+
+def _counts(places: np.ndarray, width: int) -> list[tuple[int, int, bytes]]:
+    place, n = np.unique(places, return_counts=True)
+    cuts = np.searchsorted(place, np.arange(width + 1, dtype=np.uint64) << np.uint64(32))
+    low, n = place.astype("<u4"), n.astype("<u4")  # the partition is the blob's
+    return [(p, 0, low[a:b].tobytes() + n[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+
+
+def _map_counts(width: int):
+    """Documents of a task that hold each shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            for x in b.column("tokens"):
+                held.append(np.frombuffer(x.as_buffer(), "<u8"))
+                size += len(held[-1])
+                if size >= FLUSH_KEYS:
+                    yield blob_batch(_counts(_token_places(np.concatenate(held), width), width))
+                    held, size = [], 0
+        if held:
+            yield blob_batch(_counts(_token_places(np.concatenate(held), width), width))
+
+    return run
+
+
+def _reduce_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles of COMMON_DOCS documents and more."""
+    low, n = {}, {}
+    for b in batches:
+        for pid, scalar in zip(b.column("pid").to_pylist(), b.column("body"), strict=True):
+            body = np.frombuffer(scalar.as_buffer(), "<u4").reshape(2, -1)
+            low.setdefault(pid, []).append(body[0])
+            n.setdefault(pid, []).append(body[1])
+    for pid in low:
+        key, index = np.unique(np.concatenate(low[pid]), return_inverse=True)
+        docs = np.bincount(index, np.concatenate(n[pid])).astype(np.int64)
+        often = docs >= COMMON_DOCS
+        place = np.int64(pid) << np.int64(32) | key[often].astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(docs[often])], ["place", "docs"])
+
+
+def _map_rare_keys(width: int, percent: int, places: np.ndarray, docs: np.ndarray):
+    """The keys of sets, by the order that prefers shingles not among `places` (sorted)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, held, size, n_docs, salt = [], [], 0, 0, 0
+        for b in batches:
+            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+            tokens = [np.frombuffer(x.as_buffer(), "<u8") for x in b.column("tokens")]
+            ends = np.cumsum([len(x) for x in tokens])
+            a = 0
+            while a < len(ids):
+                z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + KEYS_AT_ONCE, "right")))
+                z = min(z, a + 16384)
+                value = np.concatenate(tokens[a:z])
+                common = np.zeros(len(value), np.int64)
+                if len(places):
+                    asked = _token_places(value, width)
+                    at = np.minimum(np.searchsorted(places, asked), len(places) - 1)
+                    common = np.where(places[at] == asked, docs[at], 0)
+                row = np.repeat(np.arange(z - a), [len(x) for x in tokens[a:z]])
+                of, key = candidate_keys(row, value, z - a, percent, common)
+                keys.append(key)
+                held.append(ids[a:z][of])
+                size, n_docs, salt = size + len(key), n_docs + z - a, salt + int(ids[a]) + 1
+                if size >= FLUSH_KEYS or n_docs >= FLUSH_DOCS - 16384:
+                    yield blob_batch(_flush_keys(keys, held, [], width, salt))
+                    keys, held, size, n_docs = [], [], 0, 0
+                a = z
+        if keys:
+            yield blob_batch(_flush_keys(keys, held, [], width, salt))
+
+    return run
+
+
 class InvertedLists:
     """Inverted lists of a block of sets, and T-occurrence search over them."""
 
@@ -399,6 +496,36 @@ def _search(percent: int):
     return run
 
 
+def _blocked(coarse: DataFrame, block_docs: int) -> DataFrame:
+    """(doc_id, comp, nb, block) of the nodes of components."""
+    size = coarse.groupBy("component").agg(F.ceil(F.count("*") / block_docs).cast("int").alias("nb"))
+    return coarse.join(size, "component").select(
+        F.col("node").alias("doc_id"), F.col("component").alias("comp"), "nb",
+        F.pmod(F.hash("node"), F.col("nb")).cast("int").alias("block"),
+    )
+
+
+def _finer(sets: DataFrame, percent: int, block_docs: int, width: int) -> DataFrame:
+    """`sets` with finer components in place of those of several blocks; sets that meet no other go."""
+    big = sets.where("nb > 1").select("doc_id", "tokens")
+    if big.isEmpty():
+        return sets
+    counts = big.mapInArrow(_map_counts(width), BLOB_SCHEMA).repartitionById(width, F.col("pid"))
+    counts = counts.mapInArrow(_reduce_counts, "place long, docs long")
+    most = counts.orderBy(F.desc("docs"), "place").limit(COMMON_SHINGLES).toArrow()
+    places, docs = (most.column(x).to_numpy() for x in ("place", "docs"))
+    order = np.argsort(places)
+    edges = (
+        big.mapInArrow(_map_rare_keys(width, percent, places[order].astype(np.uint64), docs[order]), BLOB_SCHEMA)
+        .repartitionById(width, F.col("pid"))
+        .mapInArrow(_reduce_keys(width), BLOB_SCHEMA)
+        .repartitionById(width, F.col("pid"))
+        .mapInArrow(_merge_ties, NODE_SCHEMA)
+    )
+    todo = _blocked(connected_components(edges.select(F.col("doc_id").alias("u"), F.col("other").alias("v")), "jaccard-fine"), block_docs)
+    return sets.where("nb = 1").unionByName(big.join(todo.hint("shuffle_hash"), "doc_id").select(*sets.columns))
+
+
 def _regroup(labels: DataFrame, edges: DataFrame, label: str) -> DataFrame:
     """`labels` with `cluster` replaced after joining clusters by `edges` (u, v).
 
@@ -470,13 +597,10 @@ def jaccard_classes(
         .select("u", "v")
     )
     coarse = connected_components(edges, "jaccard")
-    size = coarse.groupBy("component").agg(F.ceil(F.count("*") / block_docs).cast("int").alias("nb"))
-    todo = coarse.join(size, "component").select(
-        F.col("node").alias("doc_id"), F.col("component").alias("comp"), "nb",
-        F.pmod(F.hash("node"), F.col("nb")).cast("int").alias("block"),
-    )
+    todo = _blocked(coarse, block_docs)
     sets = docs.join(todo.hint("shuffle_hash"), "doc_id").mapInArrow(_sets(shingle), SET_SCHEMA)
-    clusters = _clusters(materialise(sets, "jaccard-sets"), percent, block_docs, width)
+    sets = _finer(materialise(sets, "jaccard-sets"), percent, block_docs, width)
+    clusters = _clusters(sets, percent, block_docs, width)
     final = clusters.groupBy("cluster").agg(F.min("doc_id").alias("component"))
     of_rep = clusters.join(final, "cluster").select(F.col("doc_id").alias("rep"), "component")
     named = rep_of.join(of_rep, "rep", "left").select("doc_id", "h1", "h2", F.coalesce("component", "rep").alias("component"))
